@@ -12,7 +12,7 @@ from feedlake.plans.registry import query
 from feedlake.plans.sql import BRONZE_COLUMNS, region_of, with_ctes
 from feedlake.session import shared_dir
 from feedlake.sources.feeds import attach_feeds, read_feeds, stage_records
-from feedlake.sources.rss import parse_documents, read_feed_files
+from feedlake.sources.rss import parse_documents
 from feedlake.sources.staging import latest_batch, read_staging, write_staging
 from feedlake.sources.tables import date_slice
 
@@ -29,12 +29,6 @@ def rss_entries(spark: SparkSession, d: str) -> DataFrame:
     return parse_documents(a.feed_documents(spark, d), "xml")
 
 
-def rss_files(spark: SparkSession, d: str) -> DataFrame:
-    path = shared_dir(spark, "rss")
-    a.feed_documents(spark, d).select("xml").write.text(path)
-    return read_feed_files(spark, path).drop("file")
-
-
 def enriched(spark: SparkSession, d: str) -> DataFrame:
     return attach_feeds(rss_entries(spark, d), a.feeds(spark, d))
 
@@ -145,11 +139,6 @@ _STAGED_TEXT = with_ctes(
 QUERIES = {
     "feed_registry": query(feed_registry, _ENTRIES + "SELECT * FROM feeds"),
     "rss_entries": query(rss_entries, _ENTRIES + f"SELECT {ENTRY_COLUMNS} FROM entries"),
-    "rss_files": query(
-        rss_files,
-        _ENTRIES
-        + "SELECT title, link, id, published, updated, summary, body FROM entries",
-    ),
     "feed_enrich": query(
         enriched,
         _ENTRIES + f"SELECT {ENTRY_COLUMNS}, region, source_type, language_hint FROM enriched",

@@ -29,7 +29,7 @@ def evolved(spark: SparkSession, d: str) -> DataFrame:
 
 def evolved_frames(spark: SparkSession, d: str) -> DataFrame:
     rows = a.articles(spark, d).select("article_id", "title")
-    return append_evolve(rows, rows.withColumn("note", F.upper("title")))
+    return append_evolve(rows, rows.withColumn("note", F.concat(F.lit("re "), "title")))
 
 
 def upserted_articles(spark: SparkSession, d: str) -> DataFrame:
@@ -120,7 +120,7 @@ QUERIES = {
         with_ctes(
             "articles",
             select="SELECT article_id, title, NULL::VARCHAR AS note FROM articles "
-            "UNION ALL SELECT article_id, title, upper(title) FROM articles",
+            "UNION ALL SELECT article_id, title, 're ' || title FROM articles",
         ),
     ),
     "upsert_articles": query(

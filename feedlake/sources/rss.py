@@ -76,16 +76,11 @@ def parse_documents(documents: DataFrame, xml: str) -> DataFrame:
 
 
 def read_feed_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per entry of the RSS files under ``path``, with its file; large files split by item."""
-    item = (
-        "title string, link string, guid struct<_VALUE:string,_isPermaLink:string>, "
-        "pubDate string, `dc:date` string, description string, `content:encoded` array<string>"
-    )
-    rows = spark.read.option("rowTag", "item").schema(item).xml(path)
-    struct = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    return (
-        rows.select(_rss_entry(struct).alias("e"), F.col("_metadata.file_path").alias("file"))
-        .select("file", "e.*")
-        .withColumn("body", entry_body(F.col("contents")))
-        .drop("contents")
+    """One row per entry of the feed documents under ``path``, one document per file.
+
+    A document is read whole: it holds a feed's latest entries, not its history.
+    """
+    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
+    return parse_documents(
+        files.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("xml")), "xml"
     )
