@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -31,22 +30,10 @@ def _write(df: DataFrame, path: str, partition_by: list[str], mode: str) -> None
     writer.partitionBy(*partition_by).parquet(path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-
-
 def create_table(spark: SparkSession, path: str, schema: StructType, partition_by: list[str]) -> None:
-    """An empty partitioned table, unless the path holds one. Read it with its schema."""
-    if not exists(spark, path):
-        spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition_by).parquet(
-            path
-        )
+    """An empty partitioned table, or the one that is there. Read a new one with its schema."""
+    # No rows make no partition folders, so this adds no file to a table.
+    spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def append_table(df: DataFrame, path: str, partition_by: list[str]) -> None:
@@ -114,8 +101,7 @@ def upsert_table(
     """
     if not written:
         source = materialize(source, "source")
-    if not exists(spark, path):
-        create_table(spark, path, source.schema, partition_by)
+    create_table(spark, path, source.schema, partition_by)
     target = read_table(spark, path, source.schema)
     located = (
         target.select(*keys, *[c for c in partition_by if c not in keys])
