@@ -1,11 +1,14 @@
 """Fixed values that results depend on. They are data, stated as they must be."""
 
-# Character classes. SPACE is what Python calls white space (`str.split`, `\s`);
-# the two DROP classes are what cleaning deletes, with ASCII-only or with
-# Unicode letters and digits kept.
-SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
-DROP_ASCII = r"[^\w\s\-\.,;:!?'\"]"
-DROP_UNICODE = r"[^\p{L}\p{N}_\s\-\.,;:!?'\"]"
+# White space as Python has it (`str.split`, `\s`): first the characters up to
+# U+00FF, then the others, which are rare and one range among them.
+SPACES_LATIN = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+SPACES_HIGH = "\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACES_ASCII = "\t\n\x0b\x0c\r "
+# What cleaning keeps: letters, digits and white space, ASCII only or of all
+# scripts, and these symbols.
+KEPT_SYMBOLS = "_-.,;:!?'\""
+KEPT_UNICODE = r"\p{L}\p{N}\s"
 
 # Cleaning and chunking.
 MIN_CONTENT_CHARS = 50

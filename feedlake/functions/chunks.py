@@ -40,11 +40,12 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
-def chunk_structs(text: Column, spec: ChunkSpec) -> Column:
+def chunk_structs(text: Column, spec: ChunkSpec, blanks_only: bool = False) -> Column:
     """``array<struct<chunk_text, n_words>>``: all windows of a text, in order.
 
     Windows start at 0, step, 2*step and so on up to the first that reaches the
     end, so a text of n words has 1 + max(0, ceil((n - size) / step)) of them.
+    ``blanks_only`` says that blanks are the only white space in the text.
     """
 
     def windows(ws: Column) -> Column:
@@ -59,7 +60,7 @@ def chunk_structs(text: Column, spec: ChunkSpec) -> Column:
         )
 
     empty = F.array().cast("array<struct<chunk_text:string,n_words:int>>")
-    chunks = bind(words(text), windows)
+    chunks = bind(words(text, blanks_only), windows)
     if not spec.keep_blank:
         chunks = F.filter(chunks, lambda c: c["n_words"] > 0)
     return F.when(F.coalesce(text, F.lit("")) == "", empty).otherwise(chunks)

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from feedlake import fixed
 from feedlake.functions.chunks import bind
 from feedlake.functions.feeds import plain_time_text
+from feedlake.functions.text import ANY_SPACE
 
-EDGE_SPACES = rf"^{fixed.SPACE}+|{fixed.SPACE}+$"
+EDGE_SPACES = f"^{ANY_SPACE}+|{ANY_SPACE}+$"
 
 
 def _sum(values: Column) -> Column:

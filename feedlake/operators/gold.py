@@ -14,12 +14,15 @@ LINEAGE = ["article_id", "feed_id", "region", "language"]
 
 
 def explode_chunks(articles: DataFrame, profile: Profile = CLUSTER) -> DataFrame:
-    """One row per window with ``chunk_index``, ``chunk_text`` and ``n_words``; all columns stay."""
+    """One row per window with ``chunk_index``, ``chunk_text`` and ``n_words``; other columns stay.
+
+    The content is cleaned text, in which blanks are the only white space.
+    """
     keep = [c for c in articles.columns if c != "content"]
-    return articles.select(
-        *keep,
-        F.posexplode(chunk_structs(F.col("content"), profile.chunks)).alias("chunk_index", "_c"),
-    ).select(*keep, "chunk_index", "_c.*")
+    windows = chunk_structs(F.col("content"), profile.chunks, blanks_only=True)
+    return articles.select(*keep, F.posexplode(windows).alias("chunk_index", "_c")).select(
+        *keep, "chunk_index", "_c.*"
+    )
 
 
 def build_gold(
@@ -54,7 +57,7 @@ def sample_articles(silver: DataFrame, ordinal: str, max_articles: int, profile:
     the running sum sees only their order and chunk counts.
     """
     budget = max_articles * fixed.CHUNKS_PER_SAMPLED_ARTICLE
-    n_chunks = F.size(chunk_structs(F.col("content"), profile.chunks))
+    n_chunks = F.size(chunk_structs(F.col("content"), profile.chunks, blanks_only=True))
     head = (
         silver.select(ordinal, n_chunks.alias("_n"))
         .filter(F.col("_n") > 0)

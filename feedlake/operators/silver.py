@@ -26,18 +26,23 @@ def clean_articles(
     """Cleaned title and content, hash, language and metadata; short articles are dropped."""
     content = text.normalize_text(pick_content(profile), profile.unicode_text)
     title = text.normalize_text(F.coalesce(F.col("title"), F.lit("")), profile.unicode_text)
+    # A filter on the content would be pushed below the step that makes it and
+    # clean every text twice; exploding a list of one or none is not.
+    kept = F.filter(
+        F.array(content),
+        lambda c: text.long_enough(c, profile.min_chars, profile.min_chars_inclusive),
+    )
     return (
-        bronze.withColumn("content", content)
-        .filter(
-            text.long_enough(F.col("content"), profile.min_chars, profile.min_chars_inclusive)
-        )
+        bronze.select("*", F.explode(kept).alias("content"))
         .select(
             "article_id",
             "feed_id",
             "region",
             title.alias("title"),
             "content",
-            text.content_hash(F.col("content"), profile.case_sensitive_hash).alias("content_hash"),
+            text.content_hash(
+                F.col("content"), profile.case_sensitive_hash, blanks_only=True
+            ).alias("content_hash"),
             text.language_tag(F.col("language_hint"), profile.empty_hint_is_unknown).alias(
                 "language"
             ),

@@ -27,17 +27,17 @@ def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataFrame:
     """A given table.
 
     A table in fewer files than there are cores would keep most of them idle:
-    it is spread over all by ``spread_by``. Large tables have many files and are
-    read as they lie.
+    it is spread over all by its key ``spread_by``. Large tables have many files
+    and are read as they lie.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
     if spread_by and len(df.inputFiles()) < cores:
-        return df.repartition(cores, spread_by)
+        return df.repartition(cores, *spread_by)
     return df
 
 
@@ -229,7 +229,7 @@ def label_queries(vectors_df: DataFrame) -> DataFrame:
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The users' turns as requests, and three that hit common, no, or too short words."""
     n = F.col("conv_id")
-    turns = table(spark, sf_dir, "conversations", "conv_id").filter(F.col("role") == "user").select(
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn").filter(F.col("role") == "user").select(
         F.concat_ws("_", n.cast("string"), F.col("turn").cast("string")).alias("query_id"),
         F.col("text").alias("query"),
         F.when(n % 3 == 1, F.lit("emea")).when(n % 3 == 2, F.lit("Americas")).alias("region"),
@@ -269,6 +269,6 @@ def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.when(n == 0, kinds[0])
     for i, kind in enumerate(kinds[1:], 1):
         raw = raw.when(n == i, kind)
-    return table(spark, sf_dir, "conversations", "conv_id").select(
+    return table(spark, sf_dir, "conversations", "conv_id", "turn").select(
         "conv_id", "turn", n.cast("int").alias("kind"), "text", raw.alias("raw")
     )
