@@ -80,7 +80,7 @@ def read_feed_files(spark: SparkSession, path: str) -> DataFrame:
 
     A document is read whole: it holds a feed's latest entries, not its history.
     """
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return parse_documents(
         files.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("xml")), "xml"
     )

@@ -1,0 +1,136 @@
+"""Partitioned tables, upserts, stamps and contracts."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from feedlake import schemas
+from feedlake.operators import contracts
+from feedlake.operators.upsert import mark_embedded, upsert, upsert_newest
+from feedlake.session import shared_dir
+from feedlake.sources.tables import (
+    append_table, create_table, partition_folder, read_table, stamp_table, upsert_table,
+)
+
+COLUMNS = "k string, v int, region string, ingestion_date string"
+
+
+def frame(spark, rows):
+    df = spark.createDataFrame(rows, COLUMNS)
+    return df.withColumn("ingestion_date", F.to_date("ingestion_date"))
+
+
+def content(df):
+    return sorted(
+        (r["k"], r["v"], r["region"], str(r["ingestion_date"])) for r in df.collect()
+    )
+
+
+PARTS = ["ingestion_date", "region"]
+
+
+def test_upsert_table(spark):
+    path = shared_dir(spark, "t")
+    rows = [("a", 1, "x", "2025-01-01"), ("b", 1, "x y:z", "2025-01-01"), ("c", 1, "x", "2025-01-02")]
+    base = frame(spark, rows)
+    create_table(spark, path, base.schema, PARTS)
+    assert read_table(spark, path, base.schema).count() == 0
+    append_table(base, path, PARTS)
+    create_table(spark, path, base.schema, PARTS)  # leaves a table as it is
+    # a changes, b leaves the only partition it was alone in, d is new.
+    source = frame(
+        spark, [("a", 2, "x", "2025-01-01"), ("b", 2, "x", "2025-01-03"), ("d", 2, "q", "2025-01-01")]
+    )
+    wanted = [
+        ("a", 2, "x", "2025-01-01"), ("b", 2, "x", "2025-01-03"), ("c", 1, "x", "2025-01-02"),
+        ("d", 2, "q", "2025-01-01"),
+    ]
+    for _ in range(2):  # the second time changes nothing
+        upsert_table(spark, path, source, ["k"], PARTS)
+        assert content(read_table(spark, path, base.schema)) == wanted
+    assert content(read_table(spark, path, base.schema, "2025-01-02")) == [wanted[2]]
+    assert content(read_table(spark, path, base.schema, "")) == wanted
+
+
+def test_untouched_partitions_keep_their_files(spark):
+    path = shared_dir(spark, "t")
+    base = frame(spark, [("a", 1, "x", "2025-01-01"), ("c", 1, "x", "2025-01-02")])
+    append_table(base, path, PARTS)
+
+    def files(date):
+        df = read_table(spark, path, base.schema, date)
+        return {r[0] for r in df.select("_metadata.file_path").collect()}
+
+    kept, changed = files("2025-01-02"), files("2025-01-01")
+    upsert_table(spark, path, frame(spark, [("a", 5, "x", "2025-01-01")]), ["k"], PARTS)
+    assert files("2025-01-02") == kept
+    assert files("2025-01-01") != changed
+
+
+def test_newest_wins_whatever_the_order(spark):
+    old, new = [("a", 1, "x", "2025-01-01")], [("a", 9, "x", "2025-01-01")]
+    order = [F.col("v").desc()]
+    for first, second in ((old, new), (new, old)):
+        path = shared_dir(spark, "t")
+        for rows in (first, second, first):
+            upsert_table(spark, path, frame(spark, rows), ["k"], PARTS, order, newest=True)
+        assert content(read_table(spark, path, frame(spark, old).schema)) == [
+            ("a", 9, "x", "2025-01-01")
+        ]
+
+
+def test_upsert_frames_is_idempotent(spark):
+    target = frame(spark, [(f"k{i}", i, "x", "2025-01-01") for i in range(20)])
+    source = frame(spark, [(f"k{i}", -i, "y", "2025-01-02") for i in range(10, 30)])
+    once = upsert(target, source, ["k"])
+    assert content(upsert(once, source, ["k"])) == content(once)
+    assert once.count() == 30
+    newest = upsert_newest(target, source, ["k"], [F.col("v").desc()])
+    assert {r["k"]: r["v"] for r in newest.collect()}["k15"] == 15
+
+
+def test_stamp_table(spark):
+    path = shared_dir(spark, "g")
+    day = dt.date(2025, 1, 1)
+    now = dt.datetime(2025, 1, 1)
+    rows = [
+        (f"c{i}", "a", "f", r, "en", i, "t", 1, None, None, None, now, day, None)
+        for r in ("emea", "global") for i in (1, 2)
+    ]
+    rows = [(f"{r[0]}{r[3]}", *r[1:]) for r in rows]
+    gold = spark.createDataFrame(rows, schemas.GOLD)
+    append_table(gold, path, schemas.GOLD_PARTITIONS)
+    stamp = F.lit("2025-02-01").cast("timestamp")
+    done = gold.filter("region = 'emea' AND chunk_index = 1").withColumn("embedded_at", stamp)
+    for _ in range(2):
+        stamp_table(spark, path, schemas.GOLD, done, schemas.GOLD_PARTITIONS)
+    table = read_table(spark, path, schemas.GOLD)
+    assert table.count() == 4
+    assert [r["chunk_id"] for r in table.filter("embedded_at IS NOT NULL").collect()] == ["c1emea"]
+    # Ids that do not exist add nothing, an earlier stamp stays where none is given.
+    other = spark.createDataFrame([("nobody", now)], "chunk_id string, embedded_at timestamp")
+    assert mark_embedded(table, other).filter("embedded_at IS NOT NULL").count() == 1
+    assert mark_embedded(table, other).count() == 4
+
+
+def test_partition_folder():
+    folder = partition_folder({"d": dt.date(2025, 1, 1), "r": "a b/c:d=é", "n": None})
+    assert folder == "d=2025-01-01/r=a b%2Fc%3Ad%3Dé/n=__HIVE_DEFAULT_PARTITION__"
+
+
+def test_contracts(spark):
+    schema = StructType.fromDDL("a STRING NOT NULL, b INT NOT NULL, c STRING")
+    df = spark.createDataFrame([("x", 1, None), (None, None, "c"), ("y", None, None)], "a string, b int, c string")
+    good, bad = contracts.split_by_contract(df, schema)
+    assert [r["a"] for r in good.collect()] == ["x"]
+    assert sorted(tuple(r["violations"]) for r in bad.collect()) == [("a", "b"), ("b",)]
+    assert contracts.enforce(good, schema).count() == 1
+    with pytest.raises(PySparkException, match="required but NULL: b"):
+        contracts.enforce(df.filter("a = 'y'"), schema).collect()
+    with pytest.raises(TypeError, match="b"):
+        contracts.check_types(df.withColumn("b", F.col("b").cast("string")), schema)
