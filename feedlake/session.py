@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Settings that results depend on: dates are UTC, JSON keeps the last of equal keys.
@@ -60,12 +62,31 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Hint a broadcast only after counting that at most ``max_rows`` rows exist.
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row holds; text counts in full."""
+
+    def size(name: str, kind: str) -> Column:
+        c = F.col(f"`{name}`")
+        if kind == "string":
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+        if kind.startswith("array"):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 16
+        return F.lit(16)
+
+    return functools.reduce(operator.add, [size(*column) for column in df.dtypes])
+
+
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = 100_000, max_bytes: int = 32 << 20
+) -> DataFrame:
+    """Hint a broadcast only after counting that the side is within both bounds.
 
     Larger sides are returned as they are: the join is then a shuffled one and
     adaptive execution splits its skewed partitions.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    size = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes")
+    ).first()
+    if size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes:
         return F.broadcast(df)
     return df

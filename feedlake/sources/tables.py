@@ -75,7 +75,7 @@ def _rewrite(
     spark = target.sparkSession
     touched = materialize(touched.select(*partition_by).distinct(), "touched")
     # Partition columns only: Spark prunes the scan to the touched partitions.
-    affected = target.join(broadcast_if_small(touched, 100_000), partition_by, "left_semi")
+    affected = target.join(broadcast_if_small(touched), partition_by, "left_semi")
     staged = materialize(change(affected), "rewrite")
     _write(staged, path, partition_by, "overwrite")
     # Dynamic overwrite leaves a partition alone that got no rows.

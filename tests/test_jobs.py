@@ -140,6 +140,9 @@ def test_broadcast_only_what_is_counted_small(spark):
     small, large = spark.range(10), spark.range(11)
     hint = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     assert hint(broadcast_if_small(small, 10)) and not hint(broadcast_if_small(large, 10))
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"), F.array("id").alias("a"))
+    assert hint(broadcast_if_small(wide, 10, 11_000))
+    assert not hint(broadcast_if_small(wide, 10, 9_000))
 
 
 def test_shared_dir_follows_the_session(spark):

@@ -155,13 +155,14 @@ def test_grid_of_many_cells(spark):
 
     vectors, queries, vdf, qdf = make(spark, 300, 25)
     spec = topk.TopK(
-        _prepare_cosine, ["query_id", "namespace", "language", "embedding"],
-        ["id", "namespace", "language", "values"], ["id"], 8,
+        _prepare_cosine, ["query_id", "space", "language", "embedding"],
+        ["id", "space", "language", "values"], ["id"], 8,
     )
     asked = qdf.select(
-        "query_id", namespace(F.col("region")).alias("namespace"),
+        "query_id", namespace(F.col("region")).alias("space"),
         F.nullif("language", F.lit("")).alias("language"), "embedding",
     )
+    vdf = vdf.withColumnRenamed("namespace", "space")
     found = topk.top_k(vdf, asked, spec, F.lit(1), max_queries=4, cell_rows=50)
     got = sorted((r["query_id"], r["rank"], r["id"]) for r in found.collect())
     assert got == [r[:3] for r in brute(vectors, queries, 8, True, True)]
@@ -191,6 +192,38 @@ def test_unequal_lengths_are_an_error(spark):
         top_k_vectors(vdf, short, by_namespace=False).collect()
 
 
+def test_one_id_in_two_namespaces(spark):
+    vectors = spark.createDataFrame(
+        [("v", n, "en", v) for n, v in (("a", [1.0, 0.0]), ("b", [0.6, 0.8]))],
+        "id string, namespace string, language string, values array<double>",
+    )
+    queries = spark.createDataFrame(
+        [("q", "b", None, [1.0, 0.0])],
+        "query_id string, region string, language string, embedding array<double>",
+    )
+
+    def found(**kwargs):
+        return [
+            (r["rank"], r["namespace"], r["score"])
+            for r in top_k_vectors(vectors, queries, **kwargs).orderBy("rank").collect()
+        ]
+
+    assert found() == [(1, "b", 0.6)]
+    assert found(by_namespace=False) == [(1, "a", 1.0), (2, "b", 0.6)]
+
+
+def test_namespaces_prune_the_scan(spark):
+    from feedlake.session import shared_dir
+
+    _, _, vdf, qdf = make(spark, 60, 4)
+    path = shared_dir(spark, "v")
+    vdf.write.partitionBy("namespace").parquet(path)
+    found = top_k_vectors(spark.read.schema(vdf.schema).parquet(path), qdf.filter("query_id = 1"))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "one_big" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert found.count() == 8
+
+
 def test_no_queries_and_no_vectors(spark):
     _, _, vdf, qdf = make(spark, 20, 3)
     assert top_k_vectors(vdf, qdf.limit(0)).count() == 0
@@ -199,11 +232,13 @@ def test_no_queries_and_no_vectors(spark):
 
 def test_hits_fall_back_to_the_vectors_id(spark):
     vectors = spark.createDataFrame(
-        [("v1", '{"chunk_id": "c1", "chunk_text": "t"}'), ("v2", None)], "id string, metadata string"
+        [("a", "v1", '{"chunk_id": "c1", "chunk_text": "t"}'), ("b", "v1", '{"chunk_id": "other"}'),
+         ("a", "v2", None)],
+        "namespace string, id string, metadata string",
     )
     found = spark.createDataFrame(
-        [("q", 1, "v1", 0.5), ("q", 2, "v2", None)],
-        "query_id string, rank int, id string, score double",
+        [("q", 1, "a", "v1", 0.5), ("q", 2, "a", "v2", None)],
+        "query_id string, rank int, namespace string, id string, score double",
     )
     rows = sorted(tuple(r)[:5] for r in vector_hits(found, vectors).collect())
     assert rows == [("q", 1, "c1", 0.5, "t"), ("q", 2, "v2", 0.0, "")]
