@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from feedlake import schemas
+from feedlake.operators.bronze import KEY, load_bronze
 from feedlake.plans import adapters as a
 from feedlake.plans.registry import query
 from feedlake.plans.sql import BRONZE_COLUMNS, with_ctes
 from feedlake.session import shared_dir
 from feedlake.sources.staging import write_staging
 from feedlake.sources.tables import date_slice, read_table
-from feedlake.streaming.incremental import append_new, upsert_new
+from feedlake.streaming.incremental import (
+    append_new, first_seen, staged_stream, upsert_new,
+)
 
 DATES = ("2025-01-01", "2025-01-02", "2025-01-03")
 
@@ -41,7 +44,23 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, f"{root}/bronze", schemas.BRONZE).drop("raw_payload")
 
 
+def stream_first_seen(spark: SparkSession, d: str) -> DataFrame:
+    """Keys of the articles and their late copies, deduplicated in the stream's own state."""
+    root = shared_dir(spark, "stream")
+    _stage(a.staged(a.articles_dup(spark, d)), root, "run")
+    seen = first_seen(load_bronze(staged_stream(spark, f"{root}/staging")))
+    write = seen.select(*KEY).writeStream.format("parquet").option(
+        "checkpointLocation", f"{root}/checkpoint"
+    )
+    write.trigger(availableNow=True).start(f"{root}/keys").awaitTermination()
+    return spark.read.schema(seen.select(*KEY).schema).parquet(f"{root}/keys")
+
+
 QUERIES = {
+    "stream_first_seen": query(
+        stream_first_seen,
+        with_ctes("articles", select="SELECT DISTINCT article_id, ingestion_date FROM articles"),
+    ),
     "stream_bronze": query(
         stream_bronze, with_ctes("articles", select=f"SELECT {BRONZE_COLUMNS} FROM articles")
     ),
