@@ -156,7 +156,7 @@ def test_grid_of_many_cells(spark):
     vectors, queries, vdf, qdf = make(spark, 300, 25)
     spec = topk.TopK(
         _prepare_cosine, ["query_id", "space", "language", "embedding"],
-        ["id", "space", "language", "values"], ["id"], 8,
+        ["id", "space", "language", "values"], ["id"], 8, 10**9,
     )
     asked = qdf.select(
         "query_id", namespace(F.col("region")).alias("space"),
@@ -174,7 +174,7 @@ def test_candidate_floor_in_small_steps(monkeypatch):
 
     monkeypatch.setattr(topk, "SCORE_CELLS", 1)
     rng = np.random.default_rng(1)
-    scores = rng.integers(0, 4, (200, 3))
+    scores = rng.integers(0, 4, (200, 3)).astype(float)
     spec = topk.TopK(
         lambda block: lambda part: scores[part["n"].to_numpy()], ["q"], ["n"], ["n"], 5
     )
