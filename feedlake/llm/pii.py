@@ -42,34 +42,32 @@ PATTERNS = {
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 
-def _digest(key: str, kind: str, round_: int, half: Column) -> Column:
+def _digest(key: str, kind: str, turn: Column, half: Column) -> Column:
     """60 keyed pseudo-random bits; the key stands on both sides of what it hides."""
-    text = F.concat(F.lit(f"{key}|{kind}|{round_}|"), half.cast("string"), F.lit(f"|{key}"))
+    text = F.concat(F.lit(f"{key}|{kind}|"), turn, F.lit("|"), half, F.lit(f"|{key}"))
     return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
 
 
 def feistel(left: Column, right: Column, n_left: Column, n_right: Column, key: str, kind: str) -> Column:
-    """Struct (l, r): `left` below n_left and `right` below n_right, permuted as a pair."""
-    state = F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"))
-
-    def step(i: int) -> Callable[[Column], Column]:
-        if i % 2:
-            return lambda s: F.struct(
-                s["l"].alias("l"),
-                ((s["r"] + _digest(key, kind, i, s["l"]) % n_right) % n_right).alias("r"),
-            )
-        return lambda s: F.struct(
-            ((s["l"] + _digest(key, kind, i, s["r"]) % n_left) % n_left).alias("l"),
-            s["r"].alias("r"),
+    """Struct (l, r): `left` below n_left and `right` below n_right, permuted as a pair.
+
+    Even rounds change the left half by the right one, odd rounds the other way round.
+    """
+
+    def round_(s: Column, i: Column) -> Column:
+        return F.when(
+            i % 2 == 0,
+            F.struct(((s["l"] + _digest(key, kind, i, s["r"]) % n_left) % n_left).alias("l"), s["r"].alias("r")),
+        ).otherwise(
+            F.struct(s["l"].alias("l"), ((s["r"] + _digest(key, kind, i, s["l"]) % n_right) % n_right).alias("r"))
         )
 
-    for i in range(ROUNDS):
-        state = let(state, step(i))
-    return state
+    start = F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"))
+    return F.aggregate(F.array(*[F.lit(i) for i in range(ROUNDS)]), start, round_)
 
 
 def _power(radix: int, exponent: Column) -> Column:
-    return F.get(F.array(*[F.lit(radix**i).cast("long") for i in range(MAX_HALF[radix] + 1)]), exponent)
+    return F.get(F.lit([radix**i for i in range(MAX_HALF[radix] + 1)]).cast("array<long>"), exponent)
 
 
 def permute_text(value: Column, radix: int, key: str, kind: str) -> Column:
@@ -116,16 +114,24 @@ def _only(text: Column, keep: str) -> Column:
 
 def _refill(shape: Column, filling: Column, kind: str) -> Column:
     """`shape` with its characters of a kind replaced, in order, by those of `filling`."""
-    return F.array_join(
-        F.transform(
-            F.sequence(F.lit(1), F.length(shape)),
-            lambda i: F.when(
-                F.substring(shape, i, F.lit(1)).rlike(f"[{kind}]"),
-                F.substring(filling, F.length(_only(F.substring(shape, F.lit(1), i), kind)), F.lit(1)),
-            ).otherwise(F.substring(shape, i, F.lit(1))),
-        ),
-        "",
-    )
+
+    def replaced(both: Column) -> Column:
+        s, f = both["s"], both["f"]
+        return F.array_join(
+            F.transform(
+                F.sequence(F.lit(1), F.length(s)),
+                lambda i: let(
+                    F.substring(s, i, F.lit(1)),
+                    lambda c: F.when(
+                        c.rlike(f"[{kind}]"),
+                        F.substring(f, F.length(_only(F.substring(s, F.lit(1), i), kind)), F.lit(1)),
+                    ).otherwise(c),
+                ),
+            ),
+            "",
+        )
+
+    return let(F.struct(shape.alias("s"), filling.alias("f")), replaced)
 
 
 def _luhn_sum(digits: Column, doubled: int) -> Column:
@@ -240,14 +246,22 @@ def _phone(m: Column, key: str) -> Column:
             ),
         )
 
+    def changed(d: Column) -> Column:
+        return F.when(d.rlike("^[2-9][0-9]{2}[2-9][0-9]{6}$"), american(d)).otherwise(
+            permute_text(d, 10, key, "phone_other")
+        )
+
     code = F.regexp_extract(m, "^\\+[0-9]{1,3}(?=[ .(-])|^\\+[0-9]", 0)
-    rest = F.substring(m, F.length(code) + 1, F.length(m))
-    changed = let(
-        _only(rest, "0-9"),
-        lambda d: F.when(d.rlike("^[2-9][0-9]{2}[2-9][0-9]{6}$"), american(d))
-        .otherwise(permute_text(d, 10, key, "phone_other")),
+    return let(
+        code,
+        lambda c: F.concat(
+            c,
+            let(
+                F.substring(m, F.length(c) + 1, F.length(m)),
+                lambda rest: _refill(rest, let(_only(rest, "0-9"), changed), "0-9"),
+            ),
+        ),
     )
-    return F.concat(code, let(changed, lambda c: _refill(rest, c, "0-9")))
 
 
 def _days(day: Column, key: str) -> Column:
@@ -279,41 +293,41 @@ def _iso_date(m: Column, key: str) -> Column:
 def _day_date(m: Column, key: str) -> Column:
     """Day first, or month first where only that is a date; written with two digits each."""
 
-    def read(month: int, day: int) -> Column:
-        return F.try_to_date(
-            F.concat_ws("-", F.get(parts, F.lit(2)), F.get(parts, F.lit(month)), F.get(parts, F.lit(day))),
-            "yyyy-M-d",
-        )
-
-    parts = F.split(m, "[./]")
-    mark = F.regexp_extract(m, "[./]", 0)
+    def changed(p: Column) -> Column:
+        day_first = F.try_to_date(F.concat_ws("-", p[2], p[1], p[0]), "yyyy-M-d")
+        month_first = F.try_to_date(F.concat_ws("-", p[2], p[0], p[1]), "yyyy-M-d")
+        mark = F.regexp_extract(m, "[./]", 0)
+
+        def written(first: str, second: str) -> Callable[[Column], Column]:
+            return lambda day: F.when(
+                day.isNotNull(),
+                let(
+                    _days(day, key),
+                    lambda d: F.concat(
+                        F.date_format(d, first), mark, F.date_format(d, second), mark, F.date_format(d, "yyyy")
+                    ),
+                ),
+            )
 
-    def written(day: Column, first: str, second: str) -> Column:
-        return let(
-            _days(day, key),
-            lambda d: F.concat_ws(
-                "", F.date_format(d, first), mark, F.date_format(d, second), mark, F.date_format(d, "yyyy")
-            ),
-        )
+        return F.coalesce(let(day_first, written("dd", "MM")), let(month_first, written("MM", "dd")))
 
-    return F.coalesce(
-        let(read(1, 0), lambda d: F.when(d.isNotNull(), written(d, "dd", "MM"))),
-        let(read(0, 1), lambda d: F.when(d.isNotNull(), written(d, "MM", "dd"))),
-    )
+    return let(F.split(m, "[./]"), changed)
 
 
 def _email(m: Column, key: str) -> Column:
     """Letters and digits of the local part and of the domain but its last label."""
 
     def run(text: Column, kind: str) -> Column:
-        return _refill(text, permute_text(_only(text, "a-z0-9"), 36, key, kind), "a-z0-9")
-
-    low = F.lower(m)
-    local = F.substring_index(low, "@", 1)
-    host = F.substring_index(low, "@", -1)
-    last = F.substring_index(host, ".", -1)
-    front = F.substring(host, F.lit(1), F.length(host) - F.length(last))
-    return F.concat(run(local, "email"), F.lit("@"), run(front, "host"), last)
+        return let(
+            text, lambda t: _refill(t, permute_text(_only(t, "a-z0-9"), 36, key, kind), "a-z0-9")
+        )
+
+    def changed(low: Column) -> Column:
+        last = F.substring_index(low, ".", -1)
+        front = F.substring_index(F.substring(low, F.lit(1), F.length(low) - F.length(last)), "@", -1)
+        return F.concat(run(F.substring_index(low, "@", 1), "email"), F.lit("@"), run(front, "host"), last)
+
+    return let(F.lower(m), changed)
 
 
 def _key(m: Column, key: str) -> Column:
