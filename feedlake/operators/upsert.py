@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.operators.dedup import keep_first
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Equal keys, where NULL equals NULL."""
+    return functools.reduce(operator.and_, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
 def append_evolve(target: DataFrame, source: DataFrame) -> DataFrame:
     """All rows of both; columns that one side lacks are NULL there. Duplicates stay."""
     return target.unionByName(source, allowMissingColumns=True)
@@ -19,11 +27,12 @@ def upsert(
     """Target rows with no source row of the same key, and the source rows.
 
     ``order`` picks among source rows of one key; without it they must be
-    unique. Applying the same source twice changes nothing.
+    unique. Applying the same source twice changes nothing, also for NULL keys.
     """
     if order is not None:
         source = keep_first(source, keys, order)
-    untouched = target.join(source.select(*keys), keys, "left_anti")
+    wanted = source.select(*keys)
+    untouched = target.join(wanted, same_keys(target, wanted, keys), "left_anti")
     return append_evolve(untouched, source)
 
 

@@ -2,20 +2,28 @@
 
 A table has one writer at a time. A rewrite first writes the new rows to the
 shared folder, so the table is never read and replaced by the same job, and
-running it again after a failure gives the same result.
+running it again after a failure gives the same result. Partitions are replaced
+one by one: until a rewrite ends, a row that changes its partition may be in both.
+
+Spark writes an empty partition value as NULL, so both count as NULL here.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
-from feedlake.operators.upsert import mark_embedded, upsert, upsert_newest
+from feedlake.operators.upsert import mark_embedded, same_keys, upsert, upsert_newest
 from feedlake.session import broadcast_if_small, materialize
 
+# So many partitions are named in a filter; the values of more are joined.
+MAX_NAMED = 1_000
+
 # How Spark names partition folders.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
@@ -67,24 +75,86 @@ def partition_folder(values: dict[str, object]) -> str:
     return "/".join(f"{escape(k)}={escape(v)}" for k, v in values.items())
 
 
+def null_partitions(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Empty partition values as NULL, as they are read back."""
+    texts = [c for c in partition_by if isinstance(df.schema[c].dataType, StringType)]
+    return df.withColumns({c: F.when(F.col(c) != "", F.col(c)) for c in texts}) if texts else df
+
+
+def in_partitions(df: DataFrame, partitions: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of ``df`` in the listed partitions.
+
+    A literal filter prunes the scan, so a few touched partitions of a large table
+    are the only ones opened. Beyond ``MAX_NAMED`` the first column, if its values
+    are few enough, still prunes, and the rest is a join.
+    """
+    wanted = partitions.select(*columns).distinct()
+    rows = wanted.limit(MAX_NAMED + 1).collect()
+    if len(rows) <= MAX_NAMED:
+        if not rows:
+            return df.filter(F.lit(False))
+        return df.filter(_any_of([_named(columns, row) for row in rows]))
+    first = columns[:1]
+    values = wanted.select(*first).distinct().limit(MAX_NAMED + 1).collect()
+    if len(values) <= MAX_NAMED:
+        df = df.filter(_any_of([_named(first, row) for row in values]))
+    side = broadcast_if_small(wanted)
+    return df.join(side, same_keys(df, side, columns), "left_semi")
+
+
+def _named(columns: list[str], row: tuple) -> Column:
+    tests = [F.col(c).isNull() if v is None else F.col(c) == F.lit(v) for c, v in zip(columns, row)]
+    return functools.reduce(operator.and_, tests)
+
+
+def _any_of(tests: list[Column]) -> Column:
+    """One of the tests, as a balanced tree: a long chain is too deep to analyse."""
+    while len(tests) > 1:
+        tests = [functools.reduce(operator.or_, tests[i : i + 2]) for i in range(0, len(tests), 2)]
+    return tests[0]
+
+
+def evolved_schema(spark: SparkSession, path: str, schema: StructType) -> StructType:
+    """The given columns, and those the table has besides; the types given win."""
+    stored = spark.read.option("mergeSchema", "true").parquet(path).schema
+    known = set(schema.fieldNames())
+    return StructType([*schema.fields, *[f for f in stored.fields if f.name not in known]])
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    return bool(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+        "recursiveFileLookup", "true").load(path).select("path").limit(1).count())
+
+
+def _remove(spark: SparkSession, path: str, partitions: DataFrame) -> None:
+    """Take out the folders of partitions; no data is read or written."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for row in partitions.toLocalIterator():
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(root, partition_folder(row.asDict())), True)
+
+
 def _rewrite(
     target: DataFrame, path: str, partition_by: list[str], touched: DataFrame,
     change: Callable[[DataFrame], DataFrame],
 ) -> None:
     """Replace the rows of the touched partitions by ``change`` of them."""
-    spark = target.sparkSession
     touched = materialize(touched.select(*partition_by).distinct(), "touched")
-    # Partition columns only: Spark prunes the scan to the touched partitions.
-    affected = target.join(broadcast_if_small(touched), partition_by, "left_semi")
-    staged = materialize(change(affected), "rewrite")
-    _write(staged, path, partition_by, "overwrite")
-    # Dynamic overwrite leaves a partition alone that got no rows.
-    kept = staged.select(*partition_by).distinct()
-    body = [c for c in target.columns if c not in partition_by]
-    gone = touched.join(kept, partition_by, "left_anti")
-    for row in gone.toLocalIterator():
-        empty = spark.createDataFrame([], target.select(*body).schema)
-        empty.write.mode("overwrite").parquet(f"{path}/{partition_folder(row.asDict())}")
+    staged = materialize(change(in_partitions(target, touched, partition_by)), "rewrite")
+    replace_partitions(target.sparkSession, path, staged, partition_by, touched)
+
+
+def replace_partitions(
+    spark: SparkSession, path: str, rows: DataFrame, partition_by: list[str], scope: DataFrame
+) -> None:
+    """Let the partitions in ``scope`` hold nothing but ``rows``, which are written elsewhere.
+
+    Dynamic overwrite leaves a partition alone that gets no rows, so those are removed.
+    """
+    _write(rows, path, partition_by, "overwrite")
+    kept = rows.select(*partition_by).distinct()
+    gone = scope.join(kept, same_keys(scope, kept, partition_by), "left_anti")
+    _remove(spark, path, gone)
 
 
 def upsert_table(
@@ -95,20 +165,27 @@ def upsert_table(
 
     Touched are the source's partitions and those where the table has one of its
     keys: a row whose partition changes leaves the old one. To find these, only
-    key and partition columns of the table are read. With ``newest`` the first
-    row by ``order`` wins on either side, else the source wins. The source is
-    read more than once, so it is written out first unless it is ``written``.
+    key and partition columns of the table are read, and only of the source's
+    values where a partition column is part of the key; a key that holds all of
+    them needs no search. With ``newest`` the first row by ``order`` wins on
+    either side, else the source wins. NULL is a key value like any other. Columns
+    that only the table has stay, NULL in new rows. The source is read more than
+    once, so it is written out first unless it is ``written``.
     """
+    source = null_partitions(source, partition_by)
     if not written:
         source = materialize(source, "source")
     create_table(spark, path, source.schema, partition_by)
-    target = read_table(spark, path, source.schema)
-    located = (
-        target.select(*keys, *[c for c in partition_by if c not in keys])
-        .join(source.select(*keys).distinct(), keys, "left_semi")
-        .select(*partition_by)
-    )
-    touched = located.unionByName(source.select(*partition_by))
+    schema = evolved_schema(spark, path, source.schema) if _has_files(spark, path) else source.schema
+    target = read_table(spark, path, schema)
+    touched = source.select(*partition_by)
+    in_key = [c for c in partition_by if c in keys]
+    if len(in_key) < len(partition_by):
+        near = in_partitions(target, source, in_key) if in_key else target
+        near = near.select(*keys, *[c for c in partition_by if c not in keys])
+        wanted = source.select(*keys).distinct()
+        located = near.join(wanted, same_keys(near, wanted, keys), "left_semi")
+        touched = touched.unionByName(located.select(*partition_by))
 
     def change(affected: DataFrame) -> DataFrame:
         if newest:
@@ -122,6 +199,22 @@ def stamp_table(
     spark: SparkSession, path: str, schema: StructType, done: DataFrame, partition_by: list[str]
 ) -> None:
     """Set ``embedded_at`` of the listed chunks; ``done`` carries their partition columns."""
-    target = read_table(spark, path, schema)
+    target = read_table(spark, path, evolved_schema(spark, path, schema))
+    done = null_partitions(done, partition_by)
     stamps = done.select("chunk_id", "embedded_at")
     _rewrite(target, path, partition_by, done, lambda rows: mark_embedded(rows, stamps))
+
+
+def delete_from_table(
+    spark: SparkSession, path: str, gone: DataFrame, keys: list[str], partition_by: list[str]
+) -> None:
+    """Take the rows with the listed keys out; ``gone`` carries their partition columns."""
+    if not _has_files(spark, path):
+        return
+    gone = materialize(null_partitions(gone, partition_by), "gone")
+    target = read_table(spark, path, spark.read.option("mergeSchema", "true").parquet(path).schema)
+
+    def change(rows: DataFrame) -> DataFrame:
+        return rows.join(gone.select(*keys), same_keys(rows, gone, keys), "left_anti")
+
+    _rewrite(target, path, partition_by, gone, change)

@@ -14,7 +14,8 @@ from feedlake.operators import contracts
 from feedlake.operators.upsert import mark_embedded, upsert, upsert_newest
 from feedlake.session import shared_dir
 from feedlake.sources.tables import (
-    append_table, create_table, partition_folder, read_table, stamp_table, upsert_table,
+    append_table, create_table, delete_from_table, in_partitions, partition_folder, read_table,
+    stamp_table, upsert_table,
 )
 
 COLUMNS = "k string, v int, region string, ingestion_date string"
@@ -134,3 +135,66 @@ def test_contracts(spark):
         contracts.enforce(df.filter("a = 'y'"), schema).collect()
     with pytest.raises(TypeError, match="b"):
         contracts.check_types(df.withColumn("b", F.col("b").cast("string")), schema)
+
+
+@pytest.mark.parametrize("value", [None, ""])
+def test_null_and_empty_partitions_lose_nothing(spark, value):
+    path = shared_dir(spark, "t")
+    first = frame(spark, [("a", 1, value, "2025-01-01"), ("b", 1, value, None), ("c", 1, "x", "2025-01-01")])
+    wanted = [("a", 1, None, "2025-01-01"), ("b", 1, None, "None"), ("c", 1, "x", "2025-01-01")]
+    for _ in range(2):
+        upsert_table(spark, path, first, ["k"], PARTS)
+        assert content_of(read_table(spark, path, first.schema)) == wanted
+    # d joins a's partition; b leaves its own, which stays empty.
+    second = frame(spark, [("d", 1, value, "2025-01-01"), ("b", 2, "y", "2025-01-02")])
+    upsert_table(spark, path, second, ["k"], PARTS)
+    assert content_of(read_table(spark, path, first.schema)) == [
+        ("a", 1, None, "2025-01-01"), ("b", 2, "y", "2025-01-02"), ("c", 1, "x", "2025-01-01"),
+        ("d", 1, None, "2025-01-01"),
+    ]
+
+
+def content_of(df):
+    return sorted(((r["k"], r["v"], r["region"], str(r["ingestion_date"])) for r in df.collect()), key=str)
+
+
+def test_null_keys_are_replaced(spark):
+    path = shared_dir(spark, "t")
+    for v in (1, 2, 2):
+        upsert_table(spark, path, frame(spark, [(None, v, None, "2025-01-01")]), ["k"], PARTS)
+    rows = read_table(spark, path, frame(spark, []).schema).collect()
+    assert [(r["k"], r["v"]) for r in rows] == [(None, 2)]
+
+
+def test_evolved_columns_survive(spark):
+    path = shared_dir(spark, "t")
+    plain = frame(spark, [("a", 1, "x", "2025-01-01"), ("b", 1, "x", "2025-01-01")])
+    append_table(plain.withColumn("note", F.upper("k")), path, PARTS)
+    upsert_table(spark, path, frame(spark, [("a", 2, "x", "2025-01-01")]), ["k"], PARTS)
+    rows = {r["k"]: (r["v"], r["note"]) for r in read_table(spark, path).collect()}
+    assert rows == {"a": (2, None), "b": (1, "B")}
+
+
+def test_lookups_prune(spark):
+    path = shared_dir(spark, "t")
+    days = [f"2025-01-{d:02d}" for d in range(1, 29)]
+    append_table(frame(spark, [(f"k{d}", 1, "x", d) for d in days]), path, PARTS)
+    table = read_table(spark, path, frame(spark, []).schema)
+    touched = frame(spark, [("k", 0, "x", days[3])])
+    few = in_partitions(table, touched, PARTS)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert {str(r[0]) for r in few.select("ingestion_date").collect()} == {days[3]}
+    scanned = few.select("_metadata.file_path").distinct().count()
+    assert scanned == 1
+    assert "ingestion_date" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
+def test_delete_from_table(spark):
+    path = shared_dir(spark, "t")
+    rows = [("a", 1, "x", "2025-01-01"), ("b", 1, None, "2025-01-01"), ("c", 1, "x", "2025-01-01")]
+    append_table(frame(spark, rows), path, PARTS)
+    gone = frame(spark, [("b", 0, None, "2025-01-01"), ("c", 0, "x", "2025-01-01"), ("z", 0, "q", "2025-01-01")])
+    for _ in range(2):
+        delete_from_table(spark, path, gone, ["k"], PARTS)
+        assert content(read_table(spark, path, frame(spark, []).schema)) == [("a", 1, "x", "2025-01-01")]
