@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.session import materialize
+
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = "[\\x20\\x09-\\x0D]+"
 
@@ -26,6 +28,15 @@ def words_of(text: Column, separators: str = SPACES) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators), "")
 
 
+def written(df: DataFrame, label: str, **numbers: Column) -> tuple[DataFrame, dict]:
+    """The frame written to the shared folder, and aggregates of it, taken on the way."""
+    if not numbers:
+        return materialize(df, label), {}
+    seen = Observation()
+    out = materialize(df.observe(seen, *[c.alias(n) for n, c in numbers.items()]), label)
+    return out, seen.get
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

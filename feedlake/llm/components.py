@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlake.llm.common import written
 from feedlake.session import materialize
 
 MAX_TURNS = 100
@@ -40,12 +41,33 @@ def components(edges: DataFrame) -> DataFrame:
     written, which bounds the lineage; a turn that changes no edge ends the search.
     """
     edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v")
-    edges = materialize(edges.distinct(), "edges")
-    mark = None
+    # Edges of stars around the least vertex, which most groups of copies are, end at once.
+    step, mark = _small_star(edges.distinct()), None
     for _ in range(MAX_TURNS):
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark or not now[0]:
+        edges, now = written(
+            step, "edges", n=F.count(F.lit(1)), digest=F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+        )
+        if now == mark or not now["n"]:
             return edges
-        mark = now
-        edges = materialize(_small_star(_large_star(edges)), "edges")
+        step, mark = _small_star(_large_star(edges)), now
     raise RuntimeError("components did not settle")
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components as `components` gives them, after further links (u, v) between any vertices.
+
+    Only the components that the links join are looked at.
+    """
+    known = labels.select(F.col("u").alias("_u"), F.col("v").alias("_v"))
+    joined = links
+    for end in ("u", "v"):
+        joined = joined.join(known, F.col(end) == F.col("_u"), "left").select(
+            *[F.coalesce("_v", c).alias(c) if c == end else F.col(c) for c in ("u", "v")]
+        )
+    moved = components(joined)
+    further = moved.select(F.col("u").alias("_u"), F.col("v").alias("_v"))
+    return materialize(
+        labels.join(further, F.col("v") == F.col("_u"), "left")
+        .select("u", F.coalesce("_v", "v").alias("v")).unionByName(moved),
+        "labels",
+    )

@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.components import components
-from feedlake.session import materialize
+from feedlake.llm.common import written
+from feedlake.llm.components import components, merged
+from feedlake.session import broadcast_if_small, materialize
 
 PERCENT = 80
 TOKENS = 128  # minwise tokens of a sketch
@@ -33,8 +34,11 @@ TREES = 32
 PIVOT_TREES = 6  # of them, used in the first round
 BACKGROUND = 0.05  # similarity of unrelated documents that trees must tell apart
 MAX_LEVELS = 30  # nodes still large then are compared in full
-PAIRS_PER_MEMBER = 16  # a node is small if it holds at most that many pairs to compare for each member
+LEVELS_AT_ONCE = 2  # that large nodes branch on by
+PAIRS_PER_MEMBER = 64  # a node is small if it holds at most that many pairs to compare for each member
 MARGIN = 0.16  # how far a sketch's estimate may lie under the similarity, four deviations
+_ID = "__feedlake_id"
+MAX_SENT_IDS = 1_000_000  # of documents to compare; more are joined by a shuffle
 SLICE = 256  # texts turned into sets together
 
 _U = np.uint64
@@ -183,15 +187,18 @@ def _instances(classes: DataFrame, trees: range, levels: int, percent: int) -> D
     return classes.select("id", "n", "sketch").mapInArrow(run, "node long, id long, n long")
 
 
-def _deeper(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(node, id, n): the children of nodes that their members reach."""
+def _deeper(members: DataFrame, classes: DataFrame, percent: int, levels: int) -> DataFrame:
+    """(node, id, n): the nodes that members reach some levels below theirs."""
     chance = 100 / percent / TOKENS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 tokens = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint16).reshape(-1, TOKENS)
-                row, key = _branch(batch.column(0).to_numpy().view(np.uint64), tokens, chance)
+                key, row = batch.column(0).to_numpy().view(np.uint64), np.arange(len(tokens))
+                for _ in range(levels):
+                    child, key = _branch(key, tokens[row], chance)
+                    row = row[child]
                 owner = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), batch.column(1).take(owner), batch.column(2).take(owner)],
@@ -254,7 +261,7 @@ def _confirmed(
     asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = materialize(
         docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-        .join(asked, "id", "left_semi"),
+        .join(broadcast_if_small(asked, MAX_SENT_IDS), "id", "left_semi"),
         "near_texts",
     )
     return (
@@ -334,25 +341,27 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, word
 
     rest = materialize(_instances(classes, range(PIVOT_TREES, TREES), levels, percent), "near_nodes")
     members = first.unionByName(rest)
-    for level in range(levels, MAX_LEVELS + 1):
+    for depth in range(levels, MAX_LEVELS + LEVELS_AT_ONCE, LEVELS_AT_ONCE):
         members = materialize(_labelled(members, labels), "near_members")
-        nodes = materialize(_mixed_nodes(members), "near_mixed")
-        if not nodes.limit(1).count():
+        nodes, n = written(
+            _mixed_nodes(members), "near_mixed", all=F.count(F.lit(1)), large=F.count(F.when(F.col("large"), 1))
+        )
+        if not n["all"]:
             break
-        small = nodes if level == MAX_LEVELS else nodes.filter("NOT large")
-        pairs = materialize(_estimated(_pairs_across(members, small, percent), classes, percent), "near_pairs")
-        if pairs.limit(1).count():
-            links = _confirmed(pairs.select("a", "b"), *args)
-            ends = links.join(labels.select("u", F.col("v").alias("m")), "u", "left").select(
-                F.coalesce("m", "u").alias("u"), "v"
+        last = depth >= MAX_LEVELS or not n["large"]
+        if n["all"] > n["large"] or last:
+            small = nodes if last else nodes.filter("NOT large")
+            pairs, n = written(
+                _estimated(_pairs_across(members, small, percent), classes, percent), "near_pairs",
+                pairs=F.count(F.lit(1)),
             )
-            labels = components(links.unionByName(ends).unionByName(labels))
-        large = nodes.filter("large")
-        if level == MAX_LEVELS or not large.limit(1).count():
+            if n["pairs"]:
+                labels = merged(labels, _confirmed(pairs.select("a", "b"), *args))
+        if last:
             break
-        members = materialize(
-            _deeper(members.join(large.select("node"), "node", "left_semi"), classes, percent), "near_nodes"
-        )
+        large = nodes.filter("large").select("node")
+        deeper = members.join(large, "node", "left_semi")
+        members = materialize(_deeper(deeper, classes, percent, LEVELS_AT_ONCE), "near_nodes")
     return labels
 
 
@@ -396,14 +405,14 @@ def drop_near_duplicates(
     """The rows of documents that `near_duplicates` keeps, with all their columns; of rows with
     one id, one stays. Rows without an id all stay."""
     found = materialize(near_duplicates(docs, words, percent, id_col, text_col), "near_found")
-    ids = found.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(
-        F.min("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows")
+    ids = found.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias(_ID)).agg(
+        F.min("kept").alias("kept"), F.count(F.lit(1)).alias("copies")
     )
     key = F.col(f"`{id_col}`").cast("long")
-    gone = ids.filter("NOT _kept OR _rows > 1")
-    kept = docs.join(gone.select("_id"), key == F.col("_id"), "left_anti")
-    repeated = ids.filter("_kept AND _rows > 1")
+    gone = ids.filter("NOT kept OR copies > 1").select(_ID)
+    kept = docs.join(gone, key == F.col(_ID), "left_anti")
+    repeated = ids.filter("kept AND copies > 1").select(_ID)
     if repeated.limit(1).count():
-        again = docs.join(repeated.select("_id"), key == F.col("_id"), "left_semi")
+        again = docs.join(repeated, key == F.col(_ID), "left_semi")
         kept = kept.unionByName(again.dropDuplicates([id_col]))
     return kept

@@ -23,6 +23,8 @@ ROUNDS = 8
 MAX_HALF = {10: 17, 16: 14, 36: 11}  # characters of a half that fit a signed long with a sum's carry
 CYCLE_START, CYCLE_DAYS = "1600-01-01", (27, 5411)  # the Gregorian calendar repeats after 400 years
 
+_MASKED = "__feedlake_masked"
+
 # Each kind with its pattern, the first that fits a place wins. No pattern starts or
 # ends within a word or number.
 _EDGE, _END = "(?<![A-Za-z0-9])", "(?![A-Za-z0-9])"
@@ -403,10 +405,10 @@ def pseudonymize(
     address have one to three digits and that days and months get two. Rows are
     treated one by one.
     """
-    masked = docs.select("*", F.explode(F.array(mask_text(F.col(f"`{text_col}`"), key))).alias("_masked"))
+    masked = docs.select("*", F.explode(F.array(mask_text(F.col(f"`{text_col}`"), key))).alias(_MASKED))
     columns = [
-        F.col("_masked.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns
+        F.col(f"{_MASKED}.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns
     ]
     if count_col:
-        columns.append(F.col("_masked.n").alias(count_col))
+        columns.append(F.col(f"{_MASKED}.n").alias(count_col))
     return masked.select(*columns)
