@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import written
-from feedlake.llm.components import components, merged
+from feedlake.llm.components import merged, roots
 from feedlake.session import broadcast_if_small, materialize
 
 PERCENT = 80
@@ -265,15 +265,16 @@ def _confirmed(
         "near_texts",
     )
     return (
-        pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
+        broadcast_if_small(pairs, MAX_SENT_IDS)
+        .join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
         .join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
-        .select("a", "b", "x", "y").mapInArrow(run, "u long, v long").distinct()
+        .select("a", "b", "x", "y").mapInArrow(run, "u long, v long")
     )
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with the component that is known for them so far."""
-    known = labels.select(F.col("u").alias("id"), F.col("v").alias("_label"))
+    known = broadcast_if_small(labels.select(F.col("u").alias("id"), F.col("v").alias("_label")), MAX_SENT_IDS)
     return members.join(known, "id", "left").select(
         "node", "id", "n", F.coalesce("_label", "id").alias("label")
     )
@@ -337,7 +338,8 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, word
     best = _estimated(stars, classes, percent).groupBy("a").agg(
         F.max(F.struct("same", F.negative("b").alias("b"))).alias("x")
     ).select("a", F.negative("x.b").alias("b"))
-    labels = components(_confirmed(best, *args))
+    # A pivot has the smallest id of its node, so the links make trees.
+    labels = roots(_confirmed(best, *args))
 
     rest = materialize(_instances(classes, range(PIVOT_TREES, TREES), levels, percent), "near_nodes")
     members = first.unionByName(rest)
