@@ -64,11 +64,12 @@ def json_object(fields: dict[str, Column]) -> Column:
 
 
 def vector_metadata(
-    extra: dict[str, Column] | None = None, text_chars: int = fixed.METADATA_TEXT_CHARS
+    extra: dict[str, Column] | None = None, text_chars: int | None = None
 ) -> Column:
     """Metadata of a chunk row as JSON: six fixed keys, time and url where known, the text.
 
-    ``extra`` adds keys, or replaces the value of one of the others.
+    ``extra`` adds keys, or replaces the value of one of the others. The text is whole
+    unless ``text_chars`` asks for its first characters only.
     """
     fields = {
         k: F.col(k)
@@ -76,5 +77,6 @@ def vector_metadata(
     }
     fields["published_at"] = plain_time_text(F.col("published_at"))
     fields["source_url"] = F.nullif(F.col("source_url"), F.lit(""))
-    fields["chunk_text"] = F.substring("chunk_text", 1, text_chars)
+    text = F.col("chunk_text")
+    fields["chunk_text"] = text if text_chars is None else F.substring(text, 1, text_chars)
     return json_object({**fields, **(extra or {})})

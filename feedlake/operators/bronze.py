@@ -16,7 +16,8 @@ def load_bronze(staged: DataFrame, run_date: str | None = None) -> DataFrame:
     """Staging records with the bronze columns and types.
 
     Times that cannot be read become NULL. A missing ``ingestion_date`` becomes
-    ``run_date``. A payload that is still nested is written as JSON text.
+    ``run_date``. A payload that is still nested is written as JSON text. A column
+    ``ordinal``, the place in the input, stays if there is one.
     """
     default_date = F.to_date(F.lit(run_date or None).cast("string"))
     payload = F.col("raw_payload")
@@ -28,14 +29,16 @@ def load_bronze(staged: DataFrame, run_date: str | None = None) -> DataFrame:
         "raw_payload": payload,
         "ingestion_date": F.coalesce(F.col("ingestion_date"), default_date),
     }
+    place = [c for c in staged.columns if c == "ordinal"]
     return staged.select(
-        *[changed.get(c, F.col(c)).alias(c) for c in schemas.BRONZE.fieldNames()]
+        *[changed.get(c, F.col(c)).alias(c) for c in schemas.BRONZE.fieldNames()], *place
     )
 
 
 def newest_first() -> list[Column]:
     """Latest ingestion first; then by content, so that the choice is always the same."""
-    ties = [F.col(c).asc_nulls_last() for c in ("source_url", "title", "summary", "body")]
+    rest = [c for c in schemas.BRONZE.fieldNames() if c not in (*KEY, "ingested_at")]
+    ties = [F.col(c).asc_nulls_last() for c in rest]
     return [F.col("ingested_at").desc_nulls_last(), *ties]
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import fixed
 from feedlake.functions.chunks import chunk_structs, tokens_of_words
+from feedlake.operators.order import running_before
 from feedlake.profiles import CLUSTER, Profile
-from feedlake.session import broadcast_if_small, materialize
+from feedlake.session import broadcast_if_small
 
 LINEAGE = ["article_id", "feed_id", "region", "language"]
 
@@ -48,26 +49,26 @@ def build_gold(
     return gold.filter(F.length("chunk_text") > profile.min_chunk_chars)
 
 
+def chunks_before(
+    silver: DataFrame, ordinal: str, profile: Profile = CLUSTER, keep: list[str] | None = None
+) -> DataFrame:
+    """Articles with ``n_chunks`` and ``chunks_before``, the chunks of all articles before in input order.
+
+    ``ordinal`` is unique. Articles without chunks are left out; of the other columns
+    those in ``keep`` stay, or all but the content.
+    """
+    n_chunks = F.size(chunk_structs(F.col("content"), profile.chunks, blanks_only=True))
+    keep = [c for c in silver.columns if c not in ("content", ordinal)] if keep is None else keep
+    counted = silver.select(ordinal, *keep, n_chunks.cast("long").alias("n_chunks")).filter("n_chunks > 0")
+    return running_before(counted, [ordinal], F.col("n_chunks"), "chunks_before")
+
+
 def sample_articles(silver: DataFrame, ordinal: str, max_articles: int, profile: Profile) -> DataFrame:
     """The first articles in input order, up to the one that completes the sample's chunks.
 
     The sample is full at five chunks per article asked for; the article that
-    fills it comes whole. Every article gives at least one chunk, so no more
-    than that many articles are looked at: a distributed top-n finds them, and
-    the running sum sees only their order and chunk counts.
+    fills it comes whole.
     """
     budget = max_articles * fixed.CHUNKS_PER_SAMPLED_ARTICLE
-    n_chunks = F.size(chunk_structs(F.col("content"), profile.chunks, blanks_only=True))
-    head = (
-        silver.select(ordinal, n_chunks.alias("_n"))
-        .filter(F.col("_n") > 0)
-        .orderBy(ordinal)
-        .limit(budget)
-    )
-    before = Window.orderBy(ordinal).rowsBetween(Window.unboundedPreceding, -1)
-    chosen = (
-        head.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .filter(F.col("_before") < budget)
-        .select(ordinal)
-    )
-    return silver.join(broadcast_if_small(materialize(chosen, "sample")), ordinal, "left_semi")
+    chosen = chunks_before(silver, ordinal, profile, []).filter(F.col("chunks_before") < budget)
+    return silver.join(broadcast_if_small(chosen.select(ordinal)), ordinal, "left_semi")

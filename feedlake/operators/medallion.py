@@ -1,51 +1,146 @@
-"""The batch job: staged records to bronze, silver and gold tables."""
+"""The batch job: staged records to bronze, silver and gold tables, and out of the vector table."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from feedlake import schemas
-from feedlake.operators.bronze import KEY, build_bronze
+from feedlake.functions.vectors import namespace
+from feedlake.operators.bronze import KEY, build_bronze, newest_first
+from feedlake.operators.contracts import split_by_contract
 from feedlake.operators.gold import build_gold
 from feedlake.operators.metrics import count_while
 from feedlake.operators.silver import build_silver
 from feedlake.profiles import CLUSTER, Profile
+from feedlake.session import broadcast_if_small, materialize
 from feedlake.sources.staging import read_staging
-from feedlake.sources.tables import append_table, read_table, upsert_table
+from feedlake.sources.tables import (
+    append_table, delete_from_table, has_files, in_partitions, read_table, replace_partitions,
+    upsert_table,
+)
 
 
 def run_medallion(
     spark: SparkSession, staging_path: str, root: str, date: str | None = None,
     profile: Profile = CLUSTER, as_of: Column | None = None, append_only: bool = False,
+    vector_path: str | None = None,
 ) -> dict[str, int]:
-    """Run all three stages under ``root``; returns the rows each stage put out.
+    """Load one staged folder into the tables under ``root``; see ``load_records``."""
+    bronze = build_bronze(read_staging(spark, staging_path), date)
+    return load_records(spark, bronze, root, profile, as_of, append_only, vector_path)
+
+
+def load_records(
+    spark: SparkSession, bronze: DataFrame, root: str, profile: Profile = CLUSTER,
+    as_of: Column | None = None, append_only: bool = False, vector_path: str | None = None,
+) -> dict[str, int]:
+    """Run all three stages for new bronze rows; returns how many rows each stage put out.
+
+    Rows that break a stage's contract go to its quarantine table and are counted
+    under ``quarantined``. Bronze keeps the newest record of an article and date. The
+    dates of the new rows are then built anew, and silver and gold hold nothing else for
+    them: articles that a newer copy supersedes go, and so do chunks that an article no
+    longer has, with their vectors in ``vector_path``. A chunk whose text is the same
+    keeps its stamp. Runs over parts of the input, in any order, therefore end in the
+    tables that one run over all of it gives, and a repeated run changes nothing.
 
-    Writes are upserts, so a repeated run changes nothing; ``append_only`` adds
-    rows as they are. Counts are taken during the writes.
+    ``append_only`` adds rows as they are.
     """
+    broken = 0
 
-    def save(name: str, df: DataFrame, keys: list[str], partitions: list[str], order) -> int:
-        path = f"{root}/{name}"
-        if append_only:
-            return count_while(df, lambda rows: append_table(rows, path, partitions))
-        return count_while(
-            df, lambda rows: upsert_table(spark, path, rows, keys, partitions, order)
-        )
+    def checked(df: DataFrame, schema: StructType, name: str) -> tuple[DataFrame, int]:
+        nonlocal broken
+        rows = materialize(df, name)
+        good, bad = split_by_contract(rows, schema)
+        path, keys = f"{root}/quarantine/{name}", [c for c in bad.columns if bad.schema[c].dataType.typeName() != "map"]
+        bad = materialize(bad.withColumn("violations", F.array_join("violations", ",")), "broken")
+        n_bad = bad.count()
+        if n_bad:
+            upsert_table(spark, path, bad, keys, ["ingestion_date"], written=True)
+        broken += n_bad
+        seen = []
+        good = _written_while(good, name, seen)
+        return good, seen[0]
 
     counts = {}
-    bronze = build_bronze(read_staging(spark, staging_path), date)
-    counts["bronze"] = save("bronze", bronze, KEY, schemas.BRONZE_PARTITIONS, None)
-    bronze = read_table(spark, f"{root}/bronze", schemas.BRONZE, date)
-    silver = build_silver(bronze, profile, as_of)
-    # One article may stay on several dates, so the date is part of the key.
-    counts["silver"] = save(
-        "silver", silver, ["article_id", "ingestion_date"], schemas.SILVER_PARTITIONS, None
+    source, counts["bronze"] = checked(bronze, schemas.BRONZE, "bronze")
+    if append_only:
+        append_table(source, f"{root}/bronze", schemas.BRONZE_PARTITIONS)
+    else:
+        upsert_table(
+            spark, f"{root}/bronze", source, KEY, schemas.BRONZE_PARTITIONS, newest_first(),
+            newest=True, written=True,
+        )
+    stored = read_table(spark, f"{root}/bronze", schemas.BRONZE)
+    # Copies are found within a date, or else within the whole table.
+    dates = materialize(
+        (source if profile.dedup_per_date else stored).select("ingestion_date").distinct(), "dates"
     )
-    silver = read_table(spark, f"{root}/silver", schemas.SILVER, date)
-    gold = build_gold(silver, profile, as_of)
-    counts["gold"] = save(
-        "gold", gold, ["chunk_id", "ingestion_date"], schemas.GOLD_PARTITIONS,
-        [F.col("ingestion_date")],
+    silver, counts["silver"] = checked(
+        build_silver(in_partitions(stored, dates, ["ingestion_date"]), profile, as_of),
+        schemas.SILVER, "silver",
     )
+    gold, counts["gold"] = checked(build_gold(silver, profile, as_of), schemas.GOLD, "gold")
+    counts["quarantined"] = broken
+    if append_only:
+        append_table(silver, f"{root}/silver", schemas.SILVER_PARTITIONS)
+        append_table(gold, f"{root}/gold", schemas.GOLD_PARTITIONS)
+        return counts
+    _replace_dates(spark, f"{root}/silver", silver, schemas.SILVER, schemas.SILVER_PARTITIONS, dates)
+    old = None
+    if has_files(spark, f"{root}/gold"):
+        before = in_partitions(read_table(spark, f"{root}/gold", schemas.GOLD), dates, ["ingestion_date"])
+        old = materialize(
+            before.select("chunk_id", "ingestion_date", "region", "chunk_text", "embedded_at"), "old_gold"
+        )
+        gold = materialize(_keep_stamps(gold, old), "gold")
+    _replace_dates(spark, f"{root}/gold", gold, schemas.GOLD, schemas.GOLD_PARTITIONS, dates)
+    if old is not None and vector_path:
+        _forget_vectors(spark, f"{root}/gold", vector_path, old, gold)
     return counts
+
+
+def _written_while(df: DataFrame, label: str, counts: list[int]) -> DataFrame:
+    kept: list[DataFrame] = []
+    counts.append(count_while(df, lambda rows: kept.append(materialize(rows, label))))
+    return kept[0]
+
+
+def _replace_dates(
+    spark: SparkSession, path: str, rows: DataFrame, schema: StructType, partition_by: list[str],
+    dates: DataFrame,
+) -> None:
+    scope = rows.select(*partition_by)
+    if has_files(spark, path):
+        held = in_partitions(read_table(spark, path, schema), dates, ["ingestion_date"])
+        scope = scope.unionByName(held.select(*partition_by))
+    replace_partitions(spark, path, rows, partition_by, materialize(scope.distinct(), "scope"))
+
+
+def _keep_stamps(gold: DataFrame, old: DataFrame) -> DataFrame:
+    """Chunks that were there before with the same text stay embedded."""
+    stamped = old.filter(F.col("embedded_at").isNotNull()).groupBy(
+        "chunk_id", "ingestion_date", "chunk_text"
+    ).agg(F.max("embedded_at").alias("_stamp"))
+    joined = gold.join(stamped, ["chunk_id", "ingestion_date", "chunk_text"], "left")
+    return joined.withColumn("embedded_at", F.coalesce("embedded_at", "_stamp")).select(*gold.columns)
+
+
+def _forget_vectors(
+    spark: SparkSession, gold_path: str, vector_path: str, old: DataFrame, gold: DataFrame
+) -> None:
+    """Take out the vectors of chunks that are in no date's gold any more."""
+    gone = materialize(old.join(gold.select("chunk_id"), "chunk_id", "left_anti"), "gone_chunks")
+    if not gone.limit(1).count():
+        return
+    everywhere = read_table(spark, gold_path, schemas.GOLD).select("chunk_id").join(
+        broadcast_if_small(gone.select("chunk_id").distinct()), "chunk_id", "left_semi"
+    )
+    vectors = gone.join(everywhere, "chunk_id", "left_anti").select(
+        namespace(F.col("region")).alias("namespace"), F.col("chunk_id").alias("id")
+    )
+    delete_from_table(
+        spark, vector_path, vectors.distinct(), ["namespace", "id"], schemas.VECTOR_PARTITIONS
+    )

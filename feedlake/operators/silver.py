@@ -52,6 +52,7 @@ def clean_articles(
             (F.current_timestamp() if as_of is None else as_of).alias("processed_at"),
             "ingestion_date",
             "ingested_at",
+            *[c for c in bronze.columns if c == "ordinal"],
         )
     )
 
@@ -70,10 +71,15 @@ def dedup_first(cleaned: DataFrame, ordinal: list[str]) -> DataFrame:
 def build_silver(
     bronze: DataFrame, profile: Profile = CLUSTER, as_of: Column | None = None
 ) -> DataFrame:
-    """Bronze to silver. Without per-date dedup, input order is time of ingestion, then id."""
+    """Bronze to silver.
+
+    Without per-date dedup the first copy in input order stays. That order is the column
+    ``ordinal`` if there is one, else time of ingestion, then id.
+    """
     cleaned = clean_articles(bronze, profile, as_of)
     if profile.dedup_per_date:
         kept = dedup_latest(cleaned)
     else:
-        kept = dedup_first(cleaned, ["ingested_at", "article_id"])
-    return kept.drop("ingested_at")
+        placed = "ordinal" in cleaned.columns
+        kept = dedup_first(cleaned, ["ordinal"] if placed else ["ingested_at", "article_id"])
+    return kept.drop("ingested_at", "ordinal")

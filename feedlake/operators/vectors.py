@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake import fixed, schemas
 from feedlake.functions.vectors import namespace, vector_metadata
 from feedlake.operators.embed import ModelFactory, embed_text, hashed_words
+from feedlake.operators.order import running_before
 from feedlake.session import materialize
 from feedlake.sources.tables import date_slice, read_table, stamp_table, upsert_table
 
@@ -20,10 +21,9 @@ def pending_chunks(gold: DataFrame, date: str | None = None) -> DataFrame:
 
 
 def pending_batch(
-    gold: DataFrame, date: str | None = None,
-    max_rows: int | None = fixed.UPSERT_BATCH * fixed.BATCHES_PER_RUN,
+    gold: DataFrame, date: str | None = None, max_rows: int | None = None
 ) -> DataFrame:
-    """The chunks one run takes, oldest date first; all that are due where ``max_rows`` is None."""
+    """The chunks one run takes: all that are due, or the oldest ``max_rows`` of them."""
     pending = pending_chunks(gold, date)
     if max_rows is None:
         return pending
@@ -31,9 +31,9 @@ def pending_batch(
 
 
 def batch_numbers(rows: DataFrame, size: int = fixed.UPSERT_BATCH) -> DataFrame:
-    """Number the batches of a run that ``pending_batch`` bounded: one task sorts that many rows."""
-    position = F.row_number().over(Window.orderBy("ingestion_date", "chunk_id"))
-    return rows.withColumn("batch_index", F.floor((position - 1) / size).cast("int"))
+    """Number the batches of a run, oldest date first."""
+    placed = running_before(rows, ["ingestion_date", "chunk_id"], F.lit(1), "_place")
+    return placed.withColumn("batch_index", F.floor(F.col("_place") / size).cast("int")).drop("_place")
 
 
 def vector_records(
@@ -57,7 +57,7 @@ def upsert_counts(records: DataFrame, *by: str) -> DataFrame:
 def run_embedding(
     spark: SparkSession, gold_path: str, vector_path: str, embedded_at: Column,
     date: str | None = None, factory: ModelFactory = hashed_words,
-    max_rows: int | None = fixed.UPSERT_BATCH * fixed.BATCHES_PER_RUN,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Embed what is due, upsert the vectors, then stamp the chunks; returns counts per namespace.
 

@@ -27,22 +27,12 @@ def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataFrame:
-    """A given table.
-
-    A table in fewer files than there are cores would keep most of them idle:
-    it is spread over all by its key ``spread_by``. Large tables have many files
-    and are read as they lie.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and len(df.inputFiles()) < cores:
-        return df.repartition(cores, *spread_by)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents", "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def region_of(source: Column) -> Column:
@@ -76,7 +66,7 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     which for every fourteenth is no link. Dates come in four formats, or are
     unreadable. Even pages carry their HTML as content, odd ones as description.
     """
-    pages = table(spark, sf_dir, "pages", "page_id")
+    pages = table(spark, sf_dir, "pages")
     n = F.col("page_id")
 
     def escaped(text: Column) -> Column:
@@ -111,6 +101,18 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(
                 n % 2 == 0, F.concat(F.lit("<content:encoded>"), html, F.lit("</content:encoded>"))
             ).otherwise(F.concat(F.lit("<description>"), html, F.lit("</description>"))),
+            F.when(
+                n % 3 == 0, F.lit("<author>ann@news.example</author><dc:creator>Bob</dc:creator>")
+            ).otherwise(F.lit("")),
+            F.lit('<category>news</category><category domain="d">t'), (n % 4).cast("string"),
+            F.lit("</category>"),
+            F.when(
+                n % 6 == 0,
+                F.concat(
+                    F.lit('<enclosure url="http://x.example/'), n.cast("string"),
+                    F.lit('.mp3" type="audio/mpeg" length="5"/>'),
+                ),
+            ).otherwise(F.lit("")),
             F.lit("</item>"),
         )
 
@@ -130,7 +132,11 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as typed bronze rows, with doc_id."""
+    """Documents as typed bronze rows, with doc_id, which is their place in the run.
+
+    A run has one time of ingestion. Title and body are missing here and there, the
+    summary then holds the whole text.
+    """
     n = F.col("doc_id")
     url = F.concat(F.lit("http://"), "source", F.lit("/"), n.cast("string"))
     return documents(spark, sf_dir).select(
@@ -140,13 +146,13 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         region_of(F.col("source")).alias("region"),
         F.lit("rss").alias("source_type"),
         url.alias("source_url"),
-        F.substring("text", 1, 80).alias("title"),
-        F.when(n % 25 != 0, F.substring("text", 1, 240)).alias("summary"),
+        F.concat(F.lit("Document "), n.cast("string")).alias("title"),
+        F.when(n % 25 != 0, F.col("text")).alias("summary"),
         F.when(n % 10 != 0, F.col("text")).alias("body"),
         F.when(n % 7 != 0, F.timestamp_seconds(n % 24 * 3600 + EPOCH_2025)).alias("published_at"),
         F.when(n % 11 != 0, F.upper("lang")).alias("language_hint"),
         F.concat(F.lit('{"doc_id":'), n.cast("string"), F.lit("}")).alias("raw_payload"),
-        F.timestamp_seconds(n + EPOCH_2025).alias("ingested_at"),
+        F.timestamp_seconds(F.lit(EPOCH_2025 + 6 * 3600)).alias("ingested_at"),
         F.date_add(F.lit(RUN_DATE).cast("date"), (n % 3).cast("int")).alias("ingestion_date"),
     )
 
@@ -160,6 +166,19 @@ def late_copies(articles_df: DataFrame) -> DataFrame:
     )
 
 
+def shorter_copies(articles_df: DataFrame) -> DataFrame:
+    """The French articles again, an hour later and with every other word of body and summary."""
+
+    def halved(c: str) -> Column:
+        kept = F.filter(F.split(c, " "), lambda _, i: i % 2 == 0)
+        return F.array_join(kept, " ")
+
+    later = articles_df.filter(F.col("language_hint") == "FR").withColumn(
+        "ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 HOUR")
+    )
+    return later.withColumns({"body": halved("body"), "summary": halved("summary")})
+
+
 def articles_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = articles(spark, sf_dir)
     return base.unionByName(late_copies(base))
@@ -172,7 +191,10 @@ def staged(rows: DataFrame) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_bronze(staged(articles(spark, sf_dir)))
+    """Bronze rows with their place in the input."""
+    rows = articles(spark, sf_dir)
+    changed = {c: iso_text(F.col(c)) for c in ("published_at", "ingested_at")}
+    return build_bronze(rows.withColumns({**changed, "ordinal": F.col("doc_id")}))
 
 
 def silver(spark: SparkSession, sf_dir: str, profile: Profile = CLUSTER) -> DataFrame:
@@ -229,7 +251,7 @@ def label_queries(vectors_df: DataFrame) -> DataFrame:
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The users' turns as requests, and three that hit common, no, or too short words."""
     n = F.col("conv_id")
-    turns = table(spark, sf_dir, "conversations", "conv_id", "turn").filter(F.col("role") == "user").select(
+    turns = table(spark, sf_dir, "conversations").filter(F.col("role") == "user").select(
         F.concat_ws("_", n.cast("string"), F.col("turn").cast("string")).alias("query_id"),
         F.col("text").alias("query"),
         F.when(n % 3 == 1, F.lit("emea")).when(n % 3 == 2, F.lit("Americas")).alias("region"),
@@ -269,6 +291,6 @@ def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.when(n == 0, kinds[0])
     for i, kind in enumerate(kinds[1:], 1):
         raw = raw.when(n == i, kind)
-    return table(spark, sf_dir, "conversations", "conv_id", "turn").select(
+    return table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", n.cast("int").alias("kind"), "text", raw.alias("raw")
     )

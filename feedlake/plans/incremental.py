@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedlake import schemas
 from feedlake.operators.bronze import KEY, load_bronze
+from feedlake.operators.vectors import run_embedding
 from feedlake.plans import adapters as a
 from feedlake.plans.registry import query
 from feedlake.plans.sql import BRONZE_COLUMNS, with_ctes
@@ -13,7 +15,7 @@ from feedlake.session import shared_dir
 from feedlake.sources.staging import write_staging
 from feedlake.sources.tables import date_slice, read_table
 from feedlake.streaming.incremental import (
-    append_new, first_seen, staged_stream, upsert_new,
+    append_new, first_seen, staged_stream, stream_medallion, upsert_new,
 )
 
 DATES = ("2025-01-01", "2025-01-02", "2025-01-03")
@@ -56,7 +58,39 @@ def stream_first_seen(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(seen.select(*KEY).schema).parquet(f"{root}/keys")
 
 
+def incremental_medallion(spark: SparkSession, d: str) -> DataFrame:
+    """Three hours of files: half of the articles, the rest, then shorter copies of the French ones.
+
+    After each hour the stream catches up and what is due is embedded.
+    """
+    root = shared_dir(spark, "hourly")
+    base = a.articles(spark, d)
+    hours = (base.filter("doc_id % 2 = 0"), base.filter("doc_id % 2 = 1"), a.shorter_copies(base))
+    for hour, rows in enumerate(hours):
+        _stage(a.staged(rows), root, f"hour{hour}")
+        stream_medallion(
+            spark, f"{root}/staging", f"{root}/lake", f"{root}/checkpoint", as_of=a.as_of(),
+            vector_path=f"{root}/vectors",
+        )
+        run_embedding(spark, f"{root}/lake/gold", f"{root}/vectors", a.as_of())
+    gold = read_table(spark, f"{root}/lake/gold", schemas.GOLD).select(
+        "chunk_id", "chunk_text", "ingestion_date", F.col("embedded_at").isNotNull().alias("embedded")
+    )
+    vectors = read_table(spark, f"{root}/vectors", schemas.VECTORS).select(
+        F.col("id").alias("chunk_id"), F.lit(True).alias("has_vector")
+    )
+    return gold.join(vectors, "chunk_id", "full")
+
+
 QUERIES = {
+    "incremental_medallion": query(
+        incremental_medallion,
+        with_ctes(
+            "hourly_gold",
+            select="SELECT chunk_id, chunk_text, ingestion_date, true AS embedded, true AS has_vector "
+            "FROM hourly_gold",
+        ),
+    ),
     "stream_first_seen": query(
         stream_first_seen,
         with_ctes("articles", select="SELECT DISTINCT article_id, ingestion_date FROM articles"),

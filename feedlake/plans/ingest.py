@@ -10,13 +10,15 @@ from feedlake.operators.bronze import dedup_bronze, load_bronze
 from feedlake.plans import adapters as a
 from feedlake.plans.registry import query
 from feedlake.plans.sql import BRONZE_COLUMNS, region_of, with_ctes
-from feedlake.session import shared_dir
+from feedlake.session import materialize, shared_dir
 from feedlake.sources.feeds import attach_feeds, read_feeds, stage_records
 from feedlake.sources.rss import parse_documents
 from feedlake.sources.staging import latest_batch, read_staging, write_staging
 from feedlake.sources.tables import date_slice
 
-ENTRY_COLUMNS = "feed_id, page_id, title, link, id, published, updated, summary, body"
+ENTRY_COLUMNS = (
+    "feed_id, page_id, title, link, id, published, updated, summary, body, authors, tags, enclosures"
+)
 
 
 def feed_registry(spark: SparkSession, d: str) -> DataFrame:
@@ -25,16 +27,31 @@ def feed_registry(spark: SparkSession, d: str) -> DataFrame:
     return read_feeds(spark, path)
 
 
-def rss_entries(spark: SparkSession, d: str) -> DataFrame:
+def _entries(spark: SparkSession, d: str) -> DataFrame:
     return parse_documents(a.feed_documents(spark, d), "xml")
 
 
+def _plain_lists(entries: DataFrame) -> DataFrame:
+    """Lists as text, for clients that compare them."""
+    lists = {c: F.array_join(c, ",") for c in ("authors", "tags")}
+    return entries.withColumns({**lists, "enclosures": F.array_join("enclosures.href", ",")}).drop("contents")
+
+
+def rss_entries(spark: SparkSession, d: str) -> DataFrame:
+    return _plain_lists(_entries(spark, d))
+
+
+def _attached(spark: SparkSession, d: str) -> DataFrame:
+    # Written, so that the documents are read for it once.
+    return attach_feeds(_entries(spark, d), materialize(a.feeds(spark, d), "feeds"))
+
+
 def enriched(spark: SparkSession, d: str) -> DataFrame:
-    return attach_feeds(rss_entries(spark, d), a.feeds(spark, d))
+    return _plain_lists(_attached(spark, d))
 
 
 def entry_ids(spark: SparkSession, d: str) -> DataFrame:
-    return stage_records(enriched(spark, d), a.RUN_TS, a.RUN_DATE).select(
+    return stage_records(_attached(spark, d), a.RUN_TS, a.RUN_DATE).select(
         "article_id", "feed_id", "source_url", "title"
     )
 
@@ -52,8 +69,7 @@ def bodies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def records(spark: SparkSession, d: str) -> DataFrame:
-    staged = stage_records(enriched(spark, d), a.RUN_TS, a.RUN_DATE, url_fallback=True)
-    return staged.drop("raw_payload")
+    return stage_records(_attached(spark, d), a.RUN_TS, a.RUN_DATE, url_fallback=True)
 
 
 def _stage_runs(spark: SparkSession, d: str) -> str:
@@ -111,6 +127,9 @@ WITH items AS (
       AS updated,
     CASE WHEN page_id % 2 = 1 THEN trim(html, E' \\t\\r\\n') END AS summary,
     CASE WHEN page_id % 2 = 0 THEN trim(html, E' \\t\\r\\n') END AS body,
+    CASE WHEN page_id % 3 = 0 THEN 'ann@news.example,Bob' END AS authors,
+    'news,t' || page_id % 4 AS tags,
+    CASE WHEN page_id % 6 = 0 THEN 'http://x.example/' || page_id || '.mp3' END AS enclosures,
     CASE WHEN page_id % 5 <> 4 THEN {_TIME}
          WHEN page_id % 2 = 0 THEN {_TIME} + INTERVAL 1 HOUR END AS published_at
   FROM items
@@ -127,6 +146,20 @@ WITH items AS (
 )
 """
 
+# The whole entry; what it lacks is left out.
+_PAYLOAD = (
+    "'{\"title\": ' || to_json(title) || "
+    + " || ".join(
+        f"coalesce(', \"{k}\": ' || to_json({k}), '')"
+        for k in ("link", "id", "published", "updated", "summary", "body")
+    )
+    + " || coalesce(', \"contents\": [{\"value\":' || to_json(body) || '}]', '')"
+    " || CASE WHEN page_id % 3 = 0 THEN ', \"authors\": [\"ann@news.example\",\"Bob\"]' ELSE '' END"
+    " || ', \"tags\": [\"news\",\"t' || page_id % 4 || '\"]'"
+    " || coalesce(', \"enclosures\": [{\"href\":' || to_json(enclosures) || "
+    "',\"type\":\"audio/mpeg\"}]', '') || '}'"
+)
+
 _STAGED_TEXT = with_ctes(
     "articles",
     select="SELECT article_id, feed_id, region, source_type, source_url, title, summary, body, "
@@ -156,8 +189,8 @@ QUERIES = {
         _ENTRIES
         + "SELECT article_id, feed_id, region, source_type, coalesce(link, id, '') AS source_url, "
         "title, summary, body, strftime(published_at, '%Y-%m-%dT%H:%M:%S+00:00') AS published_at, "
-        f"language_hint, '{a.RUN_TS}' AS ingested_at, DATE '{a.RUN_DATE}' AS ingestion_date "
-        "FROM identified",
+        f"language_hint, '{a.RUN_TS}' AS ingested_at, DATE '{a.RUN_DATE}' AS ingestion_date, "
+        f"{_PAYLOAD} AS raw_payload FROM identified",
     ),
     "staging_scan": query(staging_scan, _STAGED_TEXT),
     "latest_batch": query(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedlake import fixed
 from feedlake.functions import text
 from feedlake.functions.chunks import chunk_windows, token_estimate
-from feedlake.operators.gold import build_gold, sample_articles
+from feedlake.operators.gold import chunks_before
 from feedlake.operators.medallion import run_medallion
 from feedlake.operators.silver import article_metadata, clean_articles, dedup_first, dedup_latest
 from feedlake.plans import adapters as a
@@ -29,8 +29,6 @@ GOLD_COLUMNS = (
     "chunk_id, article_id, feed_id, region, language, chunk_index, chunk_text, token_count, "
     "published_at, source_url, ingestion_date"
 )
-SAMPLED = 25  # articles
-
 
 # Columns are made by functions: they need a session, which importing has not.
 MakeColumn = Callable[[], Column]
@@ -77,7 +75,7 @@ def latest(spark: SparkSession, d: str) -> DataFrame:
 
 def first(spark: SparkSession, d: str) -> DataFrame:
     rows = clean_articles(a.bronze(spark, d), LOCAL)
-    return dedup_first(rows, ["ingested_at", "article_id"]).select(
+    return dedup_first(rows, ["ordinal"]).select(
         "article_id", "content_hash", "ingestion_date", "ingested_at"
     )
 
@@ -99,18 +97,21 @@ def gold_by_region(spark: SparkSession, d: str) -> DataFrame:
 
 
 def chunk_budget(spark: SparkSession, d: str) -> DataFrame:
+    """How many chunks come before each article's; a sample is a filter on that."""
     cleaned = clean_articles(a.bronze(spark, d), LOCAL, a.as_of())
-    silver = dedup_first(cleaned, ["ingested_at", "article_id"])
-    kept = sample_articles(silver, "ingested_at", SAMPLED, LOCAL)
-    return build_gold(kept, LOCAL, a.as_of()).select("chunk_id", "chunk_index", "chunk_text")
+    return chunks_before(dedup_first(cleaned, ["ordinal"]), "ordinal", LOCAL, ["article_id"]).select(
+        "article_id", "n_chunks", "chunks_before"
+    )
 
 
 def stage_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Stage all articles, run the batch job on them, and return its counts."""
+    """Stage all articles, and copies that break the contract; run the batch job, return its counts."""
     root = shared_dir(spark, "job")
-    staged = write_staging(
-        a.staged(a.articles(spark, d)), f"{root}/staging", a.RUN_DATE, "run"
+    rows = a.staged(a.articles(spark, d))
+    broken = a.staged(a.articles(spark, d).filter("doc_id % 40 = 0")).withColumns(
+        {"article_id": F.concat(F.lit("x"), "article_id"), "region": F.lit(None).cast("string")}
     )
+    staged = write_staging(rows.unionByName(broken), f"{root}/staging", a.RUN_DATE, "run")
     counts = run_medallion(spark, staged, root, as_of=a.as_of())
     return spark.createDataFrame(list(counts.items()), "stage string, n_rows bigint")
 
@@ -232,11 +233,9 @@ QUERIES = {
         chunk_budget,
         with_ctes(
             "local_gold",
-            select="SELECT chunk_id, chunk_index, chunk_text FROM local_gold JOIN ("
-            "SELECT article_id, coalesce(sum(n) OVER (ORDER BY ordinal ROWS BETWEEN UNBOUNDED "
-            "PRECEDING AND 1 PRECEDING), 0) AS before FROM ("
-            "SELECT article_id, ordinal, count(*) AS n FROM local_gold GROUP BY ALL)) "
-            f"USING (article_id) WHERE before < {SAMPLED * fixed.CHUNKS_PER_SAMPLED_ARTICLE}",
+            select="SELECT article_id, n AS n_chunks, coalesce(sum(n) OVER (ORDER BY ordinal ROWS "
+            "BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS chunks_before FROM ("
+            "SELECT article_id, ordinal, count(*) AS n FROM local_gold GROUP BY ALL)",
         ),
     ),
     "stage_counts": query(
@@ -245,7 +244,8 @@ QUERIES = {
             "silver", "gold",
             select="SELECT 'bronze' AS stage, count(*) AS n_rows FROM articles "
             "UNION ALL SELECT 'silver', count(*) FROM silver "
-            "UNION ALL SELECT 'gold', count(*) FROM gold",
+            "UNION ALL SELECT 'gold', count(*) FROM gold "
+            "UNION ALL SELECT 'quarantined', count(*) FROM documents WHERE doc_id % 40 = 0",
         ),
     ),
 }

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from feedlake import fixed
 
-# Space and symbol classes in RE2's notation.
-ASCII_SPACE = r"[ \t\n\x0b\f\r]+"
+# Space and symbol classes in RE2's notation, of the fixed values.
+_KEPT = "".join(f"\\{c}" if c in "-." else c for c in fixed.KEPT_SYMBOLS).replace("'", "''")
+ASCII_SPACE = "[" + "".join(f"\\x{ord(c):02x}" for c in fixed.SPACES_ASCII) + "]+"
 SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
-DROP_ASCII = r"[^\w\s\-\.,;:!?''\"]"
-DROP_UNICODE = r"[^\p{L}\p{N}_\s\-\.,;:!?''\"]"
+DROP_ASCII = rf"[^\w\s{_KEPT}]"
+DROP_UNICODE = rf"[^{fixed.KEPT_UNICODE}{_KEPT}]"
 
 
 def normalize(text: str) -> str:
@@ -84,7 +85,7 @@ def _silver(source: str, content: str, normalized, hashed, keep: str, language:
     return f"""
     SELECT article_id, feed_id, region, {normalized("coalesce(title, '')")} AS title, content,
            content_hash, {language} AS language, published_at, source_url, ingested_at,
-           ingestion_date, ingested_at AS ordinal
+           ingestion_date, doc_id AS ordinal
     FROM (
       SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn
       FROM (SELECT *, {hashed("content")} AS content_hash
@@ -99,13 +100,13 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                                            1, {fixed.ARTICLE_HASH_CHARS}) AS article_id,
            source AS feed_id, {region_of("source")} AS region, 'rss' AS source_type,
            'http://' || source || '/' || doc_id AS source_url,
-           substr(text, 1, 80) AS title,
-           CASE WHEN doc_id % 25 <> 0 THEN substr(text, 1, 240) END AS summary,
+           'Document ' || doc_id AS title,
+           CASE WHEN doc_id % 25 <> 0 THEN text END AS summary,
            CASE WHEN doc_id % 10 <> 0 THEN text END AS body,
            CASE WHEN doc_id % 7 <> 0 THEN TIMESTAMP '2025-01-01' + to_hours(doc_id % 24) END
              AS published_at,
            CASE WHEN doc_id % 11 <> 0 THEN upper(lang) END AS language_hint,
-           TIMESTAMP '2025-01-01' + to_seconds(doc_id) AS ingested_at,
+           TIMESTAMP '2025-01-01 06:00:00' AS ingested_at,
            DATE '2025-01-01' + (doc_id % 3)::INTEGER AS ingestion_date
     FROM documents""",
         (),
@@ -142,7 +143,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
             normalize_unicode, lambda c: f"sha256({c})",
             f"length(content) >= {fixed.MIN_CONTENT_CHARS}",
             "coalesce(lower(nullif(language_hint, '')), 'unknown')", "content_hash",
-            "ingested_at, article_id",
+            "doc_id",
         ),
         ("articles",),
     ),
@@ -159,6 +160,34 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     FROM ({chunks(380, 60, "local_silver", _CHUNK_KEEP)})""",
         ("local_silver",),
     ),
+    "hourly_articles": (
+        """
+    SELECT * REPLACE (
+      CASE WHEN language_hint = 'FR' THEN array_to_string(list_filter(string_split(body, ' '),
+        lambda x, i: i % 2 = 1), ' ') ELSE body END AS body,
+      CASE WHEN language_hint = 'FR' THEN array_to_string(list_filter(string_split(summary, ' '),
+        lambda x, i: i % 2 = 1), ' ') ELSE summary END AS summary,
+      CASE WHEN language_hint = 'FR' THEN ingested_at + INTERVAL 1 HOUR ELSE ingested_at END
+        AS ingested_at)
+    FROM articles""",
+        ("articles",),
+    ),
+    "hourly_silver": (
+        _silver(
+            "hourly_articles", "coalesce(body, summary, title)", normalize, content_hash,
+            f"length(content) > {fixed.MIN_CONTENT_CHARS}",
+            "coalesce(lower(language_hint), 'unknown')", "content_hash, ingestion_date",
+            "ingested_at DESC, article_id",
+        ),
+        ("hourly_articles",),
+    ),
+    "hourly_gold": (
+        f"""
+    SELECT article_id || '_' || chunk_index AS chunk_id, *, {tokens("chunk_text")} AS token_count
+    FROM ({chunks(384, 48, "hourly_silver", _CHUNK_KEEP)})
+    WHERE length(chunk_text) > {fixed.MIN_CHUNK_CHARS}""",
+        ("hourly_silver",),
+    ),
     "half_embedded": (
         """
     SELECT *, CASE WHEN chunk_index % 2 = 0 THEN TIMESTAMP '2025-02-01' END AS embedded_at

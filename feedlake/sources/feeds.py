@@ -33,12 +33,17 @@ def stage_records(
 
     With ``url_fallback`` an absent link is replaced by the entry's id, as in
     the identity; otherwise the link stays as it is. A run has one timestamp
-    and one date.
+    and one date. The payload is the whole entry as JSON.
     """
     link, entry_id = F.col("link"), F.col("id")
     published = iso_text(published_at(F.col("published"), F.col("updated")))
+    lists = {
+        k: F.when(F.size(k) > 0, F.col(k))
+        for k in ("contents", "authors", "tags", "enclosures") if k in entries.columns
+    }
     payload = json_object(
         {k: F.col(k) for k in ("title", "link", "id", "published", "updated", "summary", "body")}
+        | lists
     )
     return entries.select(
         article_id(F.col("feed_id"), link, entry_id).alias("article_id"),

@@ -21,10 +21,14 @@ def write_staging(records: DataFrame, root: str, run_date: str, run_id: str) ->
     return folder
 
 
-def read_staging(spark: SparkSession, path: str, corrupt_column: str | None = None) -> DataFrame:
+def read_staging(
+    spark: SparkSession, path: str, corrupt_column: str | None = None, ordinal: str | None = None
+) -> DataFrame:
     """All records under a folder, with a declared schema: nothing is read twice to infer one.
 
-    ``corrupt_column`` keeps lines that are no JSON, as text, in that column.
+    ``corrupt_column`` keeps lines that are no JSON, as text, in that column. ``ordinal``
+    names a column with each record's place in the input: its file, the start of the
+    block it was read in, and its place there. It orders records as the files hold them.
     """
     reader = spark.read.schema(schemas.STAGING)
     if corrupt_column:
@@ -33,7 +37,16 @@ def read_staging(spark: SparkSession, path: str, corrupt_column: str | None = No
             "columnNameOfCorruptRecord", corrupt_column
         )
     reader = reader.option("recursiveFileLookup", "true")
-    return reader.option("pathGlobFilter", FILES).json(path)
+    rows = reader.option("pathGlobFilter", FILES).json(path)
+    if ordinal is None:
+        return rows
+    # Ids grow within a task, which reads its blocks from start to end.
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    return rows.withColumn(ordinal, place)
 
 
 def latest_batch(spark: SparkSession, root: str) -> str:

@@ -121,9 +121,11 @@ def evolved_schema(spark: SparkSession, path: str, schema: StructType) -> Struct
     return StructType([*schema.fields, *[f for f in stored.fields if f.name not in known]])
 
 
-def _has_files(spark: SparkSession, path: str) -> bool:
-    return bool(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
-        "recursiveFileLookup", "true").load(path).select("path").limit(1).count())
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether the table is there and has a partition; only its top folder is listed."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(root) and any("=" in f.getPath().getName() for f in files.listStatus(root))
 
 
 def _remove(spark: SparkSession, path: str, partitions: DataFrame) -> None:
@@ -176,7 +178,7 @@ def upsert_table(
     if not written:
         source = materialize(source, "source")
     create_table(spark, path, source.schema, partition_by)
-    schema = evolved_schema(spark, path, source.schema) if _has_files(spark, path) else source.schema
+    schema = evolved_schema(spark, path, source.schema) if has_files(spark, path) else source.schema
     target = read_table(spark, path, schema)
     touched = source.select(*partition_by)
     in_key = [c for c in partition_by if c in keys]
@@ -209,7 +211,7 @@ def delete_from_table(
     spark: SparkSession, path: str, gone: DataFrame, keys: list[str], partition_by: list[str]
 ) -> None:
     """Take the rows with the listed keys out; ``gone`` carries their partition columns."""
-    if not _has_files(spark, path):
+    if not has_files(spark, path):
         return
     gone = materialize(null_partitions(gone, partition_by), "gone")
     target = read_table(spark, path, spark.read.option("mergeSchema", "true").parquet(path).schema)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from feedlake import schemas
-from feedlake.operators.bronze import KEY, load_bronze, newest_first
+from feedlake.operators.bronze import KEY, dedup_bronze, load_bronze, newest_first
+from feedlake.operators.medallion import load_records
+from feedlake.profiles import CLUSTER, Profile
 from feedlake.sources.staging import FILES
 from feedlake.sources.tables import upsert_table
 
@@ -62,6 +64,32 @@ def upsert_new(
     query.awaitTermination()
 
 
+def stream_medallion(
+    spark: SparkSession, staging_root: str, root: str, checkpoint: str,
+    run_date: str | None = None, profile: Profile = CLUSTER, as_of: Column | None = None,
+    vector_path: str | None = None, files_per_batch: int | None = None,
+) -> None:
+    """Carry the records of new files through bronze, silver and gold, and out of the vectors.
+
+    Each micro-batch builds the dates it touches anew, so the tables are those of one run
+    over all files, and a micro-batch that is run again changes nothing.
+    """
+
+    def load(batch: DataFrame, _: int) -> None:
+        load_records(
+            batch.sparkSession, dedup_bronze(batch), root, profile, as_of, vector_path=vector_path
+        )
+
+    query = (
+        load_bronze(staged_stream(spark, staging_root, files_per_batch), run_date)
+        .writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def first_seen(bronze: DataFrame, delay: str = "2 days") -> DataFrame:
     """Stream dedup with bounded state: the first record of a key stays, not the newest."""
     return bronze.withWatermark("ingested_at", delay).dropDuplicatesWithinWatermark(KEY)

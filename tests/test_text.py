@@ -1,10 +1,7 @@
-"""Text and chunk expressions against plain restatements in Python."""
+"""Text and chunk expressions on literal inputs, and properties of random ones."""
 
 from __future__ import annotations
 
-import hashlib
-import re
-
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -28,58 +25,47 @@ def run(spark, values, **columns):
     return [r.asDict() for r in df.orderBy("i").collect()]
 
 
-def normalize(text):
-    """ASCII classes; blanks are trimmed first."""
-    text = re.sub(r"[ \t\n\x0b\f\r]+", " ", text.strip(" "))
-    return re.sub(r"[^\w\s\-\.,;:!?'\"]", "", text, flags=re.ASCII)
-
-
-def normalize_unicode(text):
-    return re.sub(r"[^\w\s\-\.,;:!?'\"]", "", re.sub(r"\s+", " ", text.strip()))
-
-
-def hashed(text):
-    if not text:
-        return ""
-    return hashlib.sha256(re.sub(r"\s+", " ", text.strip().lower()).encode()).hexdigest()
-
-
-def windows(text, size, step, keep_blank):
-    if not text:
-        return []
-    ws, out, start = text.split(), [], 0
-    if not ws:
-        return [""] if keep_blank else []
-    while True:
-        out.append(" ".join(ws[start:start + size]))
-        if start + size >= len(ws):
-            return out
-        start += step
-
-
-def check(spark, values):
+# text: cleaned to ASCII, cleaned with all scripts, words, tokens
+CLEANED = {
+    None: (None, None, None, 0),
+    "": ("", "", [], 0),
+    "   ": ("", "", [], 1),
+    "\n a \t": (" a ", "a", ["a"], 1),
+    "Über café — naïve": ("ber caf  nave", "Über café  naïve", ["Über", "café", "—", "naïve"], 5),
+    "a\x0bb": ("a b", "a b", ["a", "b"], 2),
+    "a  -  b": ("a - b", "a - b", ["a", "-", "b"], 4),
+    "a b c": ("a b c", "a b c", ["a", "b", "c"], 4),
+    "Ünï_code 1.5, \"q\" 'r' <b>&amp;</b>": (
+        "n_code 1.5, \"q\" 'r' bamp;b", "Ünï_code 1.5, \"q\" 'r' bamp;b",
+        ["Ünï_code", "1.5,", '"q"', "'r'", "<b>&amp;</b>"], 6,
+    ),
+    "日本語 テスト": (" ", "日本語 テスト", ["日本語", "テスト"], 2),
+    "line\r\nline\n\n end ": ("line line end", "line line end", ["line", "line", "end"], 4),
+    "[b]racket^\\s": ("brackets", "brackets", ["[b]racket^\\s"], 1),
+}
+
+
+def test_literal_texts(spark):
     c = F.col("text")
     rows = run(
-        spark, values, ascii=t.normalize_text(c), uni=t.normalize_text(c, unicode=True),
-        hash=t.content_hash(c), words=t.words(c), squeezed=t.squeeze(c), tokens=token_estimate(c),
+        spark, list(CLEANED), ascii=t.normalize_text(c), uni=t.normalize_text(c, unicode=True),
+        words=t.words(c), tokens=token_estimate(c),
     )
-    for text, row in zip(values, rows):
-        if text is None:
-            assert row["ascii"] is None and row["uni"] is None
-        else:
-            assert row["ascii"] == normalize(text), repr(text)
-            assert row["uni"] == normalize_unicode(text), repr(text)
-            assert row["words"] == text.split(), repr(text)
-            assert row["squeezed"] == " ".join(text.split()), repr(text)
-        assert row["hash"] == hashed(text), repr(text)
-        assert row["tokens"] == (max(int(len(text.split()) / 0.75), 1) if text else 0)
+    for (text, (ascii_text, unicode_text, words, tokens)), row in zip(CLEANED.items(), rows):
+        got = (row["ascii"], row["uni"], row["words"], row["tokens"])
+        assert got == (ascii_text, unicode_text, words, tokens), repr(text)
 
 
-def test_edges(spark):
-    check(spark, EDGES)
-    ascii = t.normalize_text(F.col("text"))
-    assert run(spark, ["\n a \t"], x=ascii)[0]["x"] == " a "
-    assert run(spark, ["Über café — naïve"], x=ascii)[0]["x"] == "ber caf  nave"
+def test_hashes(spark):
+    digests = {
+        "abc": "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad",
+        " ABC\n": "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad",
+        "a \t b": "c8687a08aa5d6ed2044328fa6a697ab8e96dc34291e8c2034ae8c38e6fcc6d65",
+        "A B": "c8687a08aa5d6ed2044328fa6a697ab8e96dc34291e8c2034ae8c38e6fcc6d65",
+        "": "", None: "",
+    }
+    rows = run(spark, list(digests), hash=t.content_hash(F.col("text")))
+    assert [r["hash"] for r in rows] == list(digests.values())
 
 
 # Letters whose lower case differs between Unicode versions are not of interest here.
@@ -89,14 +75,25 @@ CHARS = st.characters(blacklist_categories=("Cs", "Cn", "Co"), max_codepoint=0x2
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.text(CHARS | st.sampled_from(" \t\n\x0b\x1c\x85 ab.-"), max_size=40),
+@given(st.lists(st.text(CHARS | st.sampled_from(" \t\n\x0b\x1c\x85 ab.-"), max_size=40),
                 min_size=30, max_size=60))
-def test_random_texts(spark, values):
+def test_cleaning_holds_its_promises(spark, values):
     c = F.col("text")
-    rows = run(spark, values, ascii=t.normalize_text(c), words=t.words(c))
+    once = t.normalize_text(c, unicode=True)
+    rows = run(
+        spark, values, once=once, twice=t.normalize_text(t.squeeze(once), unicode=True),
+        ascii=t.normalize_text(c), words=t.words(c), squeezed=t.squeeze(c), hash=t.content_hash(c),
+        same=t.content_hash(t.squeeze(F.upper(F.lower(c)))),
+    )
     for text, row in zip(values, rows):
-        assert row["ascii"] == normalize(text), repr(text)
-        assert row["words"] == text.split(), repr(text)
+        # What is kept stands in the text, in order; words are the text without its white space.
+        left = iter(text)
+        assert all(x.isspace() or x in left for x in row["ascii"]), repr(text)
+        assert all(x.isspace() or ord(x) < 128 for x in row["ascii"])
+        assert row["squeezed"] == " ".join(row["words"])
+        assert "".join(row["words"]) == "".join(x for x in text if not x.isspace()), repr(text)
+        # Cleaning a cleaned and squeezed text changes nothing.
+        assert " ".join(row["once"].split()) == row["twice"], repr(text)
 
 
 def test_blanks_only_is_the_same_for_cleaned_text(spark):
@@ -138,13 +135,19 @@ def test_windows(spark, spec):
     texts = [None, "", "  \t"] + ["  ".join(f"w{i}" for i in range(n)) for n in counts[1:]]
     rows = run(spark, texts, chunks=chunk_windows(F.col("text"), spec))
     for text, row in zip(texts, rows):
-        assert row["chunks"] == windows(text, spec.size, spec.step, spec.keep_blank)
+        n = len(text.split()) if text else 0
+        if not n:
+            assert row["chunks"] == ([""] if text and spec.keep_blank else [])
+            continue
+        # As few windows as cover the text, all full but the last.
+        sizes = [len(c.split()) for c in row["chunks"]]
+        assert len(sizes) == 1 + max(0, -(-(n - spec.size) // spec.step))
+        assert sizes[:-1] == [spec.size] * (len(sizes) - 1) and 0 < sizes[-1] <= spec.size
         # The windows without their overlaps make up the text.
-        if text and text.split():
-            rebuilt = row["chunks"][0].split()
-            for i, chunk in enumerate(row["chunks"][1:], 1):
-                rebuilt = rebuilt[: i * spec.step] + chunk.split()
-            assert rebuilt == text.split()
+        rebuilt = row["chunks"][0].split()
+        for i, chunk in enumerate(row["chunks"][1:], 1):
+            rebuilt = rebuilt[: i * spec.step] + chunk.split()
+        assert rebuilt == text.split()
 
 
 def test_expected_chunk_counts(spark):
