@@ -5,13 +5,13 @@ from __future__ import annotations
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from feedlake import schemas
 from feedlake.plans import adapters as a
 from feedlake.plans import catalog
 from feedlake.session import shared_dir
-from feedlake.sources.tables import append_table, read_table
+from feedlake.sources import tables
+from feedlake.sources.tables import append_table, read_table, upsert_table
 
 # Each is one query per family; their plans hold those of the others.
 NAMES = [
@@ -56,10 +56,23 @@ def test_dates_prune_partitions(spark, sf_dir):
     assert "ReadSchema: struct<chunk_id:string>" in text
 
 
-def test_rewrites_prune_to_touched_partitions(spark, sf_dir):
+def test_rewrites_prune_to_touched_partitions(spark, sf_dir, monkeypatch):
+    """The plan that an upsert makes opens the touched partitions and no other."""
     path = shared_dir(spark, "gold")
     append_table(a.gold(spark, sf_dir), path, schemas.GOLD_PARTITIONS)
     table = read_table(spark, path, schemas.GOLD)
-    touched = table.select(*schemas.GOLD_PARTITIONS).filter("region = 'emea'").distinct()
-    affected = table.join(F.broadcast(touched), schemas.GOLD_PARTITIONS, "left_semi")
-    assert "dynamicpruning" in plan(affected).lower()
+    one = table.filter("region = 'emea' AND ingestion_date = DATE '2025-01-02'").limit(3)
+    plans = {}
+    real = tables.materialize
+
+    def spy(df, label):
+        plans.setdefault(label, plan(df))
+        return real(df, label)
+
+    monkeypatch.setattr(tables, "materialize", spy)
+    upsert_table(spark, path, one, ["chunk_id", "ingestion_date"], schemas.GOLD_PARTITIONS)
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", plans["rewrite"]).group(1)
+    assert "emea" in filters and ("2025-01-02" in filters or "20090" in filters)
+    # The search for the keys is limited to the date, which is part of the key.
+    found = re.findall(r"PartitionFilters: \[([^\]]*)\]", plans["touched"])
+    assert any("20090" in f or "2025-01-02" in f for f in found)
