@@ -26,6 +26,7 @@ FEATURES, DIMENSIONS, BITS = 256, 3, 13
 TIE_BITS = 24  # of a digest of the id, below the Hilbert key: equal documents spread too
 BUCKET_TOKENS = 1 << 22  # tokens that a task lays out
 MAX_BUCKETS = 20_000  # more than that many make buckets larger, not more
+RANGES = 16  # of the curve in a bucket; ranges hold equally many documents, buckets tokens
 CACHED_WORDS = 250_000
 
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:-@\\[-`{-~]*)")
@@ -167,29 +168,30 @@ def pack_documents(
     total = rows.agg(F.sum("n")).first()[0] or 0
     wanted = max(-(-total // BUCKET_TOKENS), int(spark.conf.get("spark.sql.shuffle.partitions")))
     buckets = int(min(wanted, MAX_BUCKETS))
-    shares = [i / buckets for i in range(1, buckets)]
-    borders = np.unique(
-        rows.agg(F.percentile_approx("key", shares or [0.5], 20 * buckets)).first()[0] or []
-    ) if shares else np.zeros(0, np.int64)
+    ranges = buckets * RANGES
+    shares = [i / ranges for i in range(1, ranges)]
+    borders = np.unique(rows.agg(F.percentile_approx("key", shares, 4 * ranges)).first()[0] or [0])
 
     @F.pandas_udf("int")
-    def bucket_of(key: pd.Series) -> pd.Series:
+    def range_of(key: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(borders, key.to_numpy(), "right").astype(np.int32))
 
-    ranged = rows.withColumn("bucket", bucket_of("key"))
-    sums = {r[0]: r[1] for r in ranged.groupBy("bucket").agg(F.sum("n")).collect()}
-    starts, at = {}, 0
-    for bucket in sorted(sums):
-        starts[bucket], at = at, at + sums[bucket]
+    ranged = rows.withColumn("range", range_of("key"))
+    sums = {r[0]: r[1] for r in ranged.groupBy("range").agg(F.sum("n")).collect()}
+    # Where each range starts; a task gets neighbouring ranges of about its share of tokens.
+    starts, at = np.zeros(len(borders) + 1, dtype=np.int64), 0
+    for i in sorted(sums):
+        starts[i], at = at, at + sums[i]
+    bucket = F.lit((starts * buckets // max(at, 1)).tolist()).cast("array<int>")[F.col("range")]
 
     def lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, place = None, 0
         for batch in batches:
             out: list[tuple] = []
             owner: list[int] = []
-            for i, (bucket, n, data) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)))):
-                if bucket != now:
-                    now, place = bucket, starts[bucket]
+            for i, (part, n, data) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)))):
+                if part != now:
+                    now, place = part, int(starts[part])
                 ids = np.frombuffer(data, dtype=kind).astype("<u4")
                 begin = 0
                 while begin < n:
@@ -206,11 +208,9 @@ def pack_documents(
                 [id_col, "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
             )
 
-    # One partition per range; ties end in a total order, so a repeated task gives the same.
-    ordered = ranged.repartitionById(buckets, F.col("bucket")).sortWithinPartitions(
-        "bucket", "key", id_col, "ids"
-    )
-    return ordered.select(id_col, "bucket", "n", "ids").mapInArrow(
+    # Ties end in a total order, so a repeated task gives the same.
+    ordered = ranged.repartitionById(buckets, bucket).sortWithinPartitions("range", "key", id_col, "ids")
+    return ordered.select(id_col, "range", "n", "ids").mapInArrow(
         lay_out,
         f"`{id_col}` {id_type}, start long, length long, doc_tokens long, sequence_id long, "
         "offset long, ids binary",
