@@ -17,8 +17,8 @@ from feedlake.profiles import CLUSTER, Profile
 from feedlake.session import broadcast_if_small, materialize
 from feedlake.sources.staging import read_staging
 from feedlake.sources.tables import (
-    append_table, delete_from_table, has_files, in_partitions, read_table, replace_partitions,
-    upsert_table,
+    append_table, date_slice, delete_from_table, has_files, in_partitions, read_table,
+    replace_partitions, upsert_table,
 )
 
 
@@ -29,12 +29,13 @@ def run_medallion(
 ) -> dict[str, int]:
     """Load one staged folder into the tables under ``root``; see ``load_records``."""
     bronze = build_bronze(read_staging(spark, staging_path), date)
-    return load_records(spark, bronze, root, profile, as_of, append_only, vector_path)
+    return load_records(spark, bronze, root, profile, as_of, append_only, vector_path, date)
 
 
 def load_records(
     spark: SparkSession, bronze: DataFrame, root: str, profile: Profile = CLUSTER,
     as_of: Column | None = None, append_only: bool = False, vector_path: str | None = None,
+    date: str | None = None,
 ) -> dict[str, int]:
     """Run all three stages for new bronze rows; returns how many rows each stage put out.
 
@@ -46,7 +47,8 @@ def load_records(
     keeps its stamp. Runs over parts of the input, in any order, therefore end in the
     tables that one run over all of it gives, and a repeated run changes nothing.
 
-    ``append_only`` adds rows as they are.
+    ``append_only`` adds rows as they are. With ``date`` silver and gold are built for that
+    date only.
     """
     broken = 0
 
@@ -75,9 +77,8 @@ def load_records(
         )
     stored = read_table(spark, f"{root}/bronze", schemas.BRONZE)
     # Copies are found within a date, or else within the whole table.
-    dates = materialize(
-        (source if profile.dedup_per_date else stored).select("ingestion_date").distinct(), "dates"
-    )
+    new = date_slice(source if profile.dedup_per_date else stored, date)
+    dates = materialize(new.select("ingestion_date").distinct(), "dates")
     silver, counts["silver"] = checked(
         build_silver(in_partitions(stored, dates, ["ingestion_date"]), profile, as_of),
         schemas.SILVER, "silver",
