@@ -18,6 +18,7 @@ from feedlake.operators.gold import build_gold
 from feedlake.operators.silver import build_silver
 from feedlake.profiles import CLUSTER, LOCAL, Profile
 
+SPREAD_BYTES = 64 << 20
 EPOCH_2025 = 1_735_689_600  # 2025-01-01T00:00:00Z
 AS_OF = "2025-02-01 00:00:00"
 RUN_TS, RUN_DATE = "2025-01-01T06:00:00+00:00", "2025-01-01"
@@ -27,12 +28,20 @@ def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataFrame:
+    """A given table, read as it lies.
+
+    One of a few megabytes may be a single split, which would keep all cores but one idle.
+    It is dealt over them by its key ``spread_by``; that moves ``SPREAD_BYTES`` at most.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if spread_by and int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SPREAD_BYTES:
+        return df.repartition(spark.sparkContext.defaultParallelism, *spread_by)
+    return df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return table(spark, sf_dir, "documents", "doc_id")
 
 
 def region_of(source: Column) -> Column:
@@ -66,7 +75,7 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     which for every fourteenth is no link. Dates come in four formats, or are
     unreadable. Even pages carry their HTML as content, odd ones as description.
     """
-    pages = table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages", "page_id")
     n = F.col("page_id")
 
     def escaped(text: Column) -> Column:
@@ -251,7 +260,7 @@ def label_queries(vectors_df: DataFrame) -> DataFrame:
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The users' turns as requests, and three that hit common, no, or too short words."""
     n = F.col("conv_id")
-    turns = table(spark, sf_dir, "conversations").filter(F.col("role") == "user").select(
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn").filter(F.col("role") == "user").select(
         F.concat_ws("_", n.cast("string"), F.col("turn").cast("string")).alias("query_id"),
         F.col("text").alias("query"),
         F.when(n % 3 == 1, F.lit("emea")).when(n % 3 == 2, F.lit("Americas")).alias("region"),
@@ -291,6 +300,6 @@ def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.when(n == 0, kinds[0])
     for i, kind in enumerate(kinds[1:], 1):
         raw = raw.when(n == i, kind)
-    return table(spark, sf_dir, "conversations").select(
+    return table(spark, sf_dir, "conversations", "conv_id", "turn").select(
         "conv_id", "turn", n.cast("int").alias("kind"), "text", raw.alias("raw")
     )
