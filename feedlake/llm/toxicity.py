@@ -22,8 +22,8 @@ SIZES = (3, 4, 5, 6)  # bytes of an n-gram
 BITS = 20
 SAMPLE_ROWS = 2_000  # labelled rows of each class that are learnt from
 SAMPLE_CHARS = 20_000  # longer texts are scored, but not learnt from
-TELLING = 20_000  # n-grams that get a weight: those that tell the classes apart best
-SMOOTHING, PENALTY, STEPS = 1.0, 0.0005, 200
+TELLING = 50_000  # n-grams that get a weight: those that tell the classes apart best
+SMOOTHING, PENALTY, STEPS = 1.0, 0.00005, 200
 
 _SMALL = np.arange(256, dtype=np.uint32)
 _SMALL[65:91] += 32
