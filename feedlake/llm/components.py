@@ -62,23 +62,6 @@ def components(edges: DataFrame) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def roots(parents: DataFrame) -> DataFrame:
-    """(u, v): each vertex with the root of its tree; `parents` gives every vertex u one smaller v.
-
-    Each turn doubles the way that a vertex looks up.
-    """
-    tree, mark = _measured(parents.select("u", "v"))
-    for _ in range(MAX_TURNS):
-        up = tree.select(F.col("u").alias("v"), F.col("v").alias("_up"))
-        if mark["n"] <= SENT_ROWS:
-            up = F.broadcast(up)
-        tree, now = _measured(tree.join(up, "v", "left").select("u", F.coalesce("_up", "v").alias("v")))
-        if now == mark:
-            return tree
-        mark = now
-    raise RuntimeError("trees did not settle")
-
-
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Components as `components` gives them, after further links (u, v) between any vertices.
 

@@ -25,18 +25,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import written
-from feedlake.llm.components import merged, roots
+from feedlake.llm.components import components, merged
 from feedlake.session import broadcast_if_small, materialize
 
 PERCENT = 80
-TOKENS = 128  # minwise tokens of a sketch
-TREES = 32
-PIVOT_TREES = 6  # of them, used in the first round
-BACKGROUND = 0.05  # similarity of unrelated documents that trees must tell apart
+TOKENS = 256  # minwise tokens of a sketch
+TREES = 24
+PIVOT_TREES = 6  # of them, whose nodes are searched by pivots first
+PIVOT_TURNS = 2
+BACKGROUND = 0.02  # similarity of unrelated documents that trees must tell apart
 MAX_LEVELS = 30  # nodes still large then are compared in full
 LEVELS_AT_ONCE = 2  # that large nodes branch on by
 PAIRS_PER_MEMBER = 64  # a node is small if it holds at most that many pairs to compare for each member
-MARGIN = 0.16  # how far a sketch's estimate may lie under the similarity, four deviations
+MARGIN = 0.09  # how far a sketch's estimate may lie under the similarity, 3.6 deviations
 _ID = "__feedlake_id"
 MAX_SENT_IDS = 1_000_000  # of documents to compare; more are joined by a shuffle
 SLICE = 256  # texts turned into sets together
@@ -298,6 +299,28 @@ def _mixed_nodes(members: DataFrame) -> DataFrame:
     )
 
 
+def _to_pivots(members: DataFrame, classes: DataFrame, percent: int, turn: int) -> DataFrame:
+    """(a, b): each member with the pivot of another component that its sketch is most like.
+
+    A node's pivot is drawn by a digest, another one each turn, so a member meets as many
+    pivots as it has nodes, and the pairs are no more than the members.
+    """
+    drawn = F.struct(F.xxhash64("node", "id", F.lit(turn)).alias("h"), "id", "n", "label")
+    pivots = (
+        members.groupBy("node")
+        .agg(F.min(drawn).alias("p"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .filter("low != high")
+        .select("node", F.col("p.id").alias("b"), F.col("p.n").alias("n_b"), F.col("p.label").alias("label_b"))
+    )
+    pairs = (
+        members.join(pivots, "node").filter(F.col("label") != F.col("label_b")).filter(_fits("n", "n_b", percent))
+        .select(F.col("id").alias("a"), "b").distinct()
+    )
+    return _estimated(pairs, classes, percent).groupBy("a").agg(
+        F.max(F.struct("same", "b")).alias("x")
+    ).select("a", F.col("x.b").alias("b"))
+
+
 def _pairs_across(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """(a, b): all pairs of members of the nodes that are in different components.
 
@@ -326,20 +349,15 @@ def classes_of(members: DataFrame) -> DataFrame:
 def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     """(u, v): each class that is not the least of its component, with that least one."""
     total = classes.count()
-    levels = max(2, math.ceil(math.log(max(total, 2)) / -math.log(BACKGROUND)))
+    levels = max(2, round(math.log(max(total, 2)) / -math.log(BACKGROUND)))
     args = (docs, id_col, text_col, words, percent)
 
     first = materialize(_instances(classes, range(PIVOT_TREES), levels, percent), "near_nodes")
-    pivots = first.groupBy("node").agg(
-        F.min(F.struct("id", "n")).alias("p"), F.count(F.lit(1)).alias("s")
-    ).filter("s > 1").select("node", F.col("p.id").alias("pivot"), F.col("p.n").alias("n_p"))
-    stars = first.join(pivots, "node").filter(F.col("id") != F.col("pivot")).filter(_fits("n", "n_p", percent))
-    stars = stars.select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    best = _estimated(stars, classes, percent).groupBy("a").agg(
-        F.max(F.struct("same", F.negative("b").alias("b"))).alias("x")
-    ).select("a", F.negative("x.b").alias("b"))
-    # A pivot has the smallest id of its node, so the links make trees.
-    labels = roots(_confirmed(best, *args))
+    labels = None
+    for turn in range(PIVOT_TURNS):
+        members = first.withColumn("label", F.col("id")) if labels is None else _labelled(first, labels)
+        links = _confirmed(_to_pivots(members, classes, percent, turn), *args)
+        labels = components(links) if labels is None else merged(labels, links)
 
     rest = materialize(_instances(classes, range(PIVOT_TREES, TREES), levels, percent), "near_nodes")
     members = first.unionByName(rest)

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from feedlake.llm import neardup
-from feedlake.llm.components import components, merged, roots
+from feedlake.llm.components import components, merged
 from tests.llm.cases import DOC_SCHEMA, DOCS, prose
 
 
@@ -103,7 +103,7 @@ def test_sets_and_sketches():
     sets = neardup.shingle_sets(base, 2)
     a, b = neardup.sketches(sets)
     exact = len(np.intersect1d(*sets)) / len(np.union1d(*sets))
-    assert abs((a == b).mean() - exact) < 0.16
+    assert abs((a == b).mean() - exact) < 0.1
 
 
 def test_components(spark):
@@ -124,8 +124,6 @@ def test_components(spark):
         parent[max(a, b)] = min(a, b)
     assert got == {x: root(x) for x in list(parent) if root(x) != x}
     assert components(df.filter("false")).count() == 0
-    tree = spark.createDataFrame([(i, i // 2) for i in range(1, 200)] + [(500, 400)], "u long, v long")
-    assert {r["u"]: r["v"] for r in roots(tree).collect()} == {**{i: 0 for i in range(1, 200)}, 500: 400}
     half = components(df.filter("u % 2 = 0"))
     again = {r["u"]: r["v"] for r in merged(half, df.filter("u % 2 = 1")).collect()}
     assert again == got
