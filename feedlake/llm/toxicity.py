@@ -64,16 +64,20 @@ def fit(texts: list[str | None], labels: list[int]) -> Model:
     if not 0 < y.sum() < len(y):
         return Model(np.zeros(size, np.float32), float(np.log(share / (1 - share))))
     found = [features(t) for t in texts]
-    columns, rows = np.concatenate(found), np.repeat(np.arange(len(y)), [len(f) for f in found])
-    toxic = np.bincount(columns[y[rows] == 1], minlength=size) + SMOOTHING
-    other = np.bincount(columns[y[rows] == 0], minlength=size) + SMOOTHING
+    toxic, other = np.full(size, SMOOTHING), np.full(size, SMOOTHING)
+    for f, label in zip(found, labels):
+        (toxic if label else other)[f] += 1
     ratio = np.log(toxic / (y.sum() + 2 * SMOOTHING)) - np.log(other / (len(y) - y.sum() + 2 * SMOOTHING))
     # An n-gram of fewer than three texts tells nothing about others.
     ratio[toxic + other < 3 + 2 * SMOOTHING] = 0
     tells = np.abs(ratio) * np.sqrt(toxic + other)
-    keep = tells[columns] > max(np.partition(tells, -TELLING)[-TELLING], 0)
-    rows = rows[keep]
-    used, columns = np.unique(columns[keep], return_inverse=True)
+    tells = tells > max(np.partition(tells, -TELLING)[-TELLING], 0)
+    # Texts are narrowed down one by one: all their n-grams side by side would fill the driver.
+    for i, f in enumerate(found):
+        found[i] = f[tells[f]]
+    rows = np.repeat(np.arange(len(y), dtype=np.int32), [len(f) for f in found])
+    used, columns = np.unique(np.concatenate(found), return_inverse=True)
+    columns = columns.astype(np.int32)
     values = ratio[used][columns]
     weight = 1 / np.sqrt(np.bincount(rows, minlength=len(y)).clip(1).mean())
     return _regression(rows, columns, values * weight, ratio[used] * weight, used, y, share)
