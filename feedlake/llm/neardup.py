@@ -2,11 +2,12 @@
 
 A document is the set of its word shingles, and its sketch holds the least hash of the
 set under each of many functions, its minwise tokens. A tree branches a document from
-each node into the children of those tokens that a digest of path and token selects, on
-average one shared child for two documents at the threshold. Documents that reach the
-same small node are compared exhaustively, larger nodes branch on. Each tree finds a
-similar pair with some probability, and independent trees are repeated until a missed
-pair is very unlikely.
+each node into the children of its tokens at those places that a digest of the path
+selects, on average one shared child for two documents at the threshold. Documents that
+reach the same small node are compared exhaustively, larger nodes branch on. Each tree
+finds a similar pair with some probability, which falls with depth, and independent trees
+are repeated until a missed pair is very unlikely: all documents go down as many trees as
+their first nodes ask for, those in large nodes as many as the deepest node asks for.
 
 Copies of a set are one member, its class. Rounds keep the work linear in large groups:
 first every member of a node is compared with one pivot, which links most of a group of
@@ -15,6 +16,7 @@ near copies; then only members of different components are compared.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterator
@@ -30,8 +32,8 @@ from feedlake.session import broadcast_if_small, materialize
 
 PERCENT = 80
 TOKENS = 256  # minwise tokens of a sketch
-TREES = 24
-PIVOT_TREES = 6  # of them, whose nodes are searched by pivots first
+MISS = 1e-5  # chance that no tree finds a pair at the threshold whose sketch lies within the margin
+PIVOT_TREES = 6  # the first ones, whose nodes are searched by pivots first
 PIVOT_TURNS = 2
 BACKGROUND = 0.02  # similarity of unrelated documents that trees must tell apart
 MAX_LEVELS = 30  # nodes still large then are compared in full
@@ -144,26 +146,60 @@ def _sketched(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFr
     )
 
 
-def _branch(nodes: np.ndarray, tokens: np.ndarray, chance: float) -> tuple[np.ndarray, np.ndarray]:
+@functools.cache
+def trees_for(levels: int, percent: int) -> int:
+    """So many trees miss a pair at the threshold with a chance of at most MISS, if only nodes
+    at that depth are compared.
+
+    A place that is selected at a node is a shared child with the chance that the pair's sketches
+    agree there; that agreement itself varies from pair to pair, down to the margin.
+    """
+    share, per_node = percent / 100, _children(percent)
+    k = np.arange(TOKENS + 1)
+    least = max(share - MARGIN, 0.05)
+    if share < 1:
+        logs = np.array([math.lgamma(TOKENS + 1) - math.lgamma(i + 1) - math.lgamma(TOKENS - i + 1) for i in k])
+        weight = np.exp(logs + k * math.log(share) + (TOKENS - k) * math.log(1 - share))
+    else:
+        weight = (k == TOKENS).astype(float)
+    weight[k < least * TOKENS] = 0
+    weight /= weight.sum()
+    whole, agree, lost = int(per_node), k / TOKENS, np.zeros(TOKENS + 1)
+    for _ in range(levels):
+        child = 1 - agree + agree * lost
+        lost = child**whole * (1 - (per_node - whole) * (1 - child))
+    trees = 1
+    while (weight * lost**trees).sum() > MISS:
+        trees += 1
+    return trees
+
+
+def _children(percent: int) -> float:
+    """How many places are selected at a node on average: one shared child at the threshold."""
+    return min(100 / percent, TOKENS)
+
+
+def _branch(nodes: np.ndarray, tokens: np.ndarray, per_node: float) -> tuple[np.ndarray, np.ndarray]:
     """Children of nodes: which row each comes from, and its key.
 
-    A token at a node is selected by a digest of both, alike for all documents.
+    A digest of the node selects the places of the tokens, alike for all documents. Nodes
+    differ by one place at most, so fewer of a pair's paths die out than if each token were
+    selected by itself.
     """
-    places = np.arange(TOKENS, dtype=np.uint32) << np.uint32(16)
-    x = (tokens.astype(np.uint32) | places) * np.uint32(0x85EBCA6B)
-    x ^= (nodes >> _U(32)).astype(np.uint32)[:, None]
-    x ^= x >> np.uint32(15)
-    x *= np.uint32(0xC2B2AE35)
-    x ^= x >> np.uint32(13)
-    x *= np.uint32(0x27D4EB2F)
-    row, column = np.nonzero(x < np.uint32(chance * (1 << 32)))
+    digest = _mixed(nodes ^ _U(0xD6E8FEB86659FD93))
+    whole = int(per_node)
+    n = whole + ((digest >> _U(32)).astype(np.float64) < (per_node - whole) * 2**32)
+    row = np.repeat(np.arange(len(nodes)), n)
+    turn = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)).astype(np.uint64)
+    first, step = digest[row] & _U(0xFFFF), (digest[row] >> _U(16)) & _U(0xFFFF) | _U(1)
+    column = ((first + turn * step) % _U(TOKENS)).astype(np.int64)
     token = tokens[row, column].astype(np.uint64) | (column.astype(np.uint64) << _U(16))
     return row, _mixed(_mixed(token + _U(1)) ^ nodes[row])
 
 
 def _instances(classes: DataFrame, trees: range, levels: int, percent: int) -> DataFrame:
     """(node, id, n): the nodes that each class reaches at the last of the levels of each tree."""
-    chance = 100 / percent / TOKENS
+    per_node = _children(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,7 +211,7 @@ def _instances(classes: DataFrame, trees: range, levels: int, percent: int) -> D
                     owner = np.arange(len(tokens))
                     key = np.full(len(tokens), _mixed(np.array([tree + 1], np.uint64))[0])
                     for _ in range(levels):
-                        row, key = _branch(key, tokens[owner], chance)
+                        row, key = _branch(key, tokens[owner], per_node)
                         owner = owner[row]
                     owners.append(owner)
                     keys.append(key)
@@ -190,7 +226,7 @@ def _instances(classes: DataFrame, trees: range, levels: int, percent: int) -> D
 
 def _deeper(members: DataFrame, classes: DataFrame, percent: int, levels: int) -> DataFrame:
     """(node, id, n): the nodes that members reach some levels below theirs."""
-    chance = 100 / percent / TOKENS
+    per_node = _children(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,7 +234,7 @@ def _deeper(members: DataFrame, classes: DataFrame, percent: int, levels: int) -
                 tokens = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint16).reshape(-1, TOKENS)
                 key, row = batch.column(0).to_numpy().view(np.uint64), np.arange(len(tokens))
                 for _ in range(levels):
-                    child, key = _branch(key, tokens[row], chance)
+                    child, key = _branch(key, tokens[row], per_node)
                     row = row[child]
                 owner = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
@@ -359,8 +395,25 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, word
         links = _confirmed(_to_pivots(members, classes, percent, turn), *args)
         labels = components(links) if labels is None else merged(labels, links)
 
-    rest = materialize(_instances(classes, range(PIVOT_TREES, TREES), levels, percent), "near_nodes")
-    members = first.unionByName(rest)
+    trees = max(trees_for(levels, percent), PIVOT_TREES)
+    rest = materialize(_instances(classes, range(PIVOT_TREES, trees), levels, percent), "near_nodes")
+    labels, depth, inside = _searched(first.unionByName(rest), classes, labels, levels, args)
+    # A pair that these trees did not compare stands in a large node of theirs: its members go down
+    # further trees, as many as the deepest nodes ask for.
+    while trees_for(depth, percent) > trees:
+        begin, trees = trees, trees_for(depth, percent)
+        again = materialize(_instances(inside, range(begin, trees), levels, percent), "near_nodes")
+        labels, deepest, _ = _searched(again, inside, labels, levels, args)
+        depth = max(depth, deepest)
+    return labels
+
+
+def _searched(
+    members: DataFrame, classes: DataFrame, labels: DataFrame, levels: int, args: tuple
+) -> tuple[DataFrame, int, DataFrame | None]:
+    """Labels after the nodes of members and all below them are compared, the depth of the last
+    ones, and the classes in large nodes of the first level."""
+    percent, inside = args[-1], None
     for depth in range(levels, MAX_LEVELS + LEVELS_AT_ONCE, LEVELS_AT_ONCE):
         members = materialize(_labelled(members, labels), "near_members")
         nodes, n = written(
@@ -381,8 +434,11 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, word
             break
         large = nodes.filter("large").select("node")
         deeper = members.join(large, "node", "left_semi")
+        if inside is None:
+            ids = deeper.select("id").distinct()
+            inside = materialize(classes.join(broadcast_if_small(ids, MAX_SENT_IDS), "id", "left_semi"), "near_inside")
         members = materialize(_deeper(deeper, classes, percent, LEVELS_AT_ONCE), "near_nodes")
-    return labels
+    return labels, depth, inside
 
 
 def near_duplicates(

@@ -77,6 +77,28 @@ def test_large_nodes_branch_on(spark, monkeypatch):
     assert got == brute(rows, 2)
 
 
+@pytest.mark.parametrize("levels", [3, 7, 15, 21])
+def test_recall_does_not_fall_with_depth(levels):
+    """Pairs at the threshold share a node at any depth, in as many trees as are asked for there."""
+    pairs, rng = 2000, np.random.default_rng(levels)
+    a = rng.integers(1 << 16, size=(pairs, neardup.TOKENS)).astype(np.uint16)
+    agree = rng.random(a.shape) < 0.8
+    agree[agree.mean(axis=1) < 0.8 - neardup.MARGIN] = True  # these the estimate drops
+    b = np.where(agree, a, a ^ 1)
+    found = np.zeros(pairs, bool)
+    for tree in range(neardup.trees_for(levels, 80)):
+        left = np.flatnonzero(~found)
+        sides = []
+        for tokens in (a, b):
+            pair, key = left, neardup._mixed(np.full(len(left), tree + 1, np.uint64))
+            for _ in range(levels):
+                row, key = neardup._branch(key, tokens[pair], 1.25)
+                pair = pair[row]
+            sides.append(neardup._mixed(key) ^ neardup._mixed(pair.astype(np.uint64) + np.uint64(1)))
+        found[pair[np.isin(sides[1], sides[0])]] = True
+    assert found.sum() >= pairs - 1
+
+
 def test_one_of_each_group_stays(spark, docs):
     out = neardup.drop_near_duplicates(docs, words=2)
     assert out.schema == docs.schema
