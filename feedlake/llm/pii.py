@@ -41,7 +41,26 @@ PATTERNS = {
     "phone": "(?<![A-Za-z0-9])(?:\\+[0-9]{1,3}[ .-]?)?(?:\\([0-9]{3}\\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
     + _END + "|(?<![A-Za-z0-9])\\+[0-9]{1,3}(?:[ .-]?[0-9]){7,12}" + _END,
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# Cards and IBANs are searched for as the very values that are valid: their patterns also take
+# numbers and words next to them, and a reading that fails must not hide a shorter one.
+CARD_LENGTHS = range(19, 12, -1)
+DIGIT_RUN = _EDGE + "[0-9][0-9 -]{12,}+[A-Za-z]?"
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU",
+}
+
+
+def _iban_reading(length: int) -> str:
+    groups, rest = divmod(length - 4, 4)
+    tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return f"(?:{'|'.join(IBAN_LENGTHS[length].split())})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}"
+
+
+IBAN_READING = f"{_EDGE}(?=[A-Z]{{2}}[0-9]{{2}})(?=({'|'.join(f'{_iban_reading(n)}{_END}' for n in IBAN_LENGTHS)}))"
 
 
 def _digest(key: str, kind: str, turn: Column, half: Column) -> Column:
@@ -149,6 +168,59 @@ def _luhn_sum(digits: Column, doubled: int) -> Column:
     )
 
 
+def _card_valid(m: Column) -> Column:
+    return let(_only(m, "0-9"), lambda d: _luhn_sum(d, 1) % 10 == 0)
+
+
+def _iban_valid(m: Column) -> Column:
+    return let(_only(m, "0-9A-Z"), lambda d: _iban_rest(d) == 1)
+
+
+def _cards_in(text: Column) -> Column:
+    """All valid card numbers that begin and end with a group of digits, longer ones first."""
+
+    def readings(runs: Column) -> Column:
+        return F.concat(
+            *[
+                F.regexp_extract_all(
+                    runs, F.lit(f"{_EDGE}(?=([0-9](?:[ -]?[0-9]){{{n - 1}}}){_END})"), F.lit(1)
+                )
+                for n in CARD_LENGTHS
+            ]
+        )
+
+    runs = F.regexp_extract_all(text, F.lit(DIGIT_RUN), F.lit(0))
+    return let(
+        runs,
+        lambda r: F.when(
+            F.size(r) > 0, F.filter(F.array_distinct(readings(F.array_join(r, "\n"))), _card_valid)
+        ).otherwise(F.array().cast("array<string>")),
+    )
+
+
+def _ibans_in(text: Column) -> Column:
+    """All valid IBANs: those of their country's length, then those the whole pattern takes."""
+    known = F.regexp_extract_all(text, F.lit(IBAN_READING), F.lit(1))
+    whole = F.regexp_extract_all(text, F.lit(PATTERNS["iban"]), F.lit(0))
+    return F.filter(F.array_distinct(F.concat(known, whole)), _iban_valid)
+
+
+def _pattern(text: Column) -> Column:
+    """The pattern of all kinds, where cards and IBANs stand as the valid values of this text."""
+
+    def values(found: Column, begin: str) -> Column:
+        some = F.concat(F.lit(f"{_EDGE}(?={begin})(?:"), F.array_join(found, "|"), F.lit(f"){_END}"))
+        return F.when(F.size(found) > 0, some).otherwise(F.lit("(?!)"))
+
+    parts = [
+        let(_cards_in(text), lambda f: values(f, "[0-9]")) if kind == "card"
+        else let(_ibans_in(text), lambda f: values(f, "[A-Z]")) if kind == "iban"
+        else F.lit(f"(?:{p})")
+        for kind, p in PATTERNS.items()
+    ]
+    return F.concat_ws("|", *parts)
+
+
 def _card(m: Column, key: str) -> Column:
     def changed(d: Column) -> Column:
         body = permute_text(F.substring(d, F.lit(1), F.length(d) - 1), 10, key, "card")
@@ -365,14 +437,14 @@ def pseudonym(match: Column, key: str) -> Column:
 def mask_text(text: Column, key: str) -> Column:
     """Struct (text, n): the text with pseudonyms, and how many matches were replaced."""
 
-    def joined(found: Column) -> Column:
+    def joined(found: Column, pattern: Column) -> Column:
         return let(
             F.transform(found, lambda m: pseudonym(m, key)),
             lambda new: F.struct(
                 F.array_join(
                     F.flatten(
                         F.transform(
-                            F.split(text, ANY, -1),
+                            F.split(text, pattern, -1),
                             lambda part, i: F.array(part, F.coalesce(F.get(new, i), F.lit(""))),
                         )
                     ),
@@ -388,8 +460,11 @@ def mask_text(text: Column, key: str) -> Column:
     return F.when(
         text.rlike("[0-9@]"),
         let(
-            F.regexp_extract_all(text, F.lit(ANY), F.lit(0)),
-            lambda found: F.when(F.size(found) > 0, joined(found)).otherwise(nothing),
+            _pattern(text),
+            lambda pattern: let(
+                F.regexp_extract_all(text, pattern, F.lit(0)),
+                lambda found: F.when(F.size(found) > 0, joined(found, pattern)).otherwise(nothing),
+            ),
         ),
     ).otherwise(nothing)
 

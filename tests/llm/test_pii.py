@@ -68,6 +68,23 @@ def test_the_rest_stays(spark):
     assert masked(spark, [None, "", "é 🙂 \n\t ", "a@b"]) == [(None, 0), ("", 0), ("é 🙂 \n\t ", 0), ("a@b", 0)]
 
 
+def test_cards_and_ibans_beside_numbers_and_words(spark):
+    cards = ["4111 1111 1111 1111", "4845168114407329", "4111111111111111"]
+    ibans = ["BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "SE45 5000 0000 0583 9825 7466"]
+    beside = {
+        tuple(cards): [("", " 123"), ("", " 12"), ("", " 4.0."), ("12 ", ""), ("1234 ", ""), ("7-", " 99 x"), ("no 12345 ", "")],
+        tuple(ibans): [("", " EUR"), ("", " 2024"), ("", " USD 12"), ("TO ", " BIC")],
+    }
+    phone = "555-123-4567"
+    cases = [(v, a, b) for values, places in beside.items() for v in values for a, b in places]
+    texts = [*cards, *ibans, phone, f"{cards[2]} {phone}", *[a + v + b for v, a, b in cases]]
+    got = dict(zip(texts, masked(spark, texts)))
+    new = {v: got[v][0] for v in [*cards, *ibans, phone]}
+    assert all(v != x for v, x in new.items())
+    assert got[f"{cards[2]} {phone}"] == (f"{new[cards[2]]} {new[phone]}", 2)
+    assert {a + v + b: got[a + v + b] for v, a, b in cases} == {a + v + b: (a + new[v] + b, 1) for v, a, b in cases}
+
+
 def test_one_to_one(spark):
     rnd = random.Random(4)
     days = [(dt.date(2000, 1, 1) + dt.timedelta(days=i)).isoformat() for i in range(1500)]
