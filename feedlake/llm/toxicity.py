@@ -8,6 +8,7 @@ labelled rows; every text is scored as a whole, in the partition where it lies.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -167,10 +168,17 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
 def drop_toxic(
     docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text"
 ) -> DataFrame:
-    """The rows with a score under `least`, with all their columns, in whatever types they have."""
+    """The rows with a score under `least`, with all their columns, in whatever types they have.
+
+    A model without weights, as one learnt without examples of both classes, tells no text from
+    another: all rows stay, with a warning.
+    """
     schema = docs.schema
     place = docs.columns.index(text_col)
     at = np.flatnonzero(model.weights)
+    if not len(at):
+        warnings.warn("the toxicity model has no weights; all documents are kept", stacklevel=2)
+        return docs
     sparse = (at, model.weights[at], model.offset)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -66,3 +66,13 @@ def test_awkward_tables(spark, rows):
     now = spark.read.parquet(f"{d}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, now, d).columns == now.columns
+
+
+@pytest.mark.parametrize("labels", [[], [(0, 1, 1), (1, 1, 1)]])
+def test_without_examples_of_both_classes_no_document_is_dropped(spark, docs, labels):
+    d = shared_dir(spark, "tables")
+    docs.write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    with pytest.warns(UserWarning, match="no weights"):
+        out = corpus_pipeline.toxic_texts(spark, docs, d)
+    assert out.columns == docs.columns and out.count() == len(DOCS)
