@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from feedlake.session import materialize
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = "[\\x20\\x09-\\x0D]+"
+SLICE_BYTES = 4 << 20  # of texts that a task works on together, if not a single longer one
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -44,3 +48,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """One row in five is kept from training; rows without id are too."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
+
+
+def byte_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts in the column hold few bytes together."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < batch.num_rows:
+        held = int(ends[begin - 1]) if begin else 0
+        end = max(int(np.searchsorted(ends, held + SLICE_BYTES, "right")), begin + 1)
+        yield batch.slice(begin, end - begin)
+        begin = end

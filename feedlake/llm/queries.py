@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from feedlake.llm import (
-    ann, bpe, licenses, neardup, packing, pii, quality, rules, toxicity, urls,
+    align, ann, bpe, conversations, fingerprints, licenses, neardup, packing, pii, quality, rules, toxicity, urls,
 )
 from feedlake.llm.common import held_out, table
 from feedlake.llm.sql import NEAR_COPIES, RULES, URLS
 from feedlake.session import prepare
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 WORD_BPE = corpus_pipeline.TOKENIZER
 URL_RULES = (
     urls.Rule("com", "/", urls.ALLOW),
@@ -108,6 +109,24 @@ def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = F.col("groups")
+    aligned = align.align_documents(
+        table(spark, sf_dir, "documents"), content(BYTE_LEVEL).decode(), content(PIECES),
+        shown=lambda g: F.when(g != "", F.sha2(g, 256)).otherwise(""),
+    )
+    return aligned.withColumn("groups_sha256", groups).drop("groups")
+
+
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    printed = fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+    return printed.withColumn("edited_sha256", F.sha2("edited_text", 256)).drop("edited_text")
+
+
 def _prepared(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: run(prepare(spark), sf_dir)
 
@@ -125,6 +144,9 @@ QUERIES = {
         ("op8_rule_cascade", rule_cascade, RULES),
         ("op9_pseudonyms", pseudonyms, None),
         ("op10_near_copies", near_copies, NEAR_COPIES),
+        ("op11_tokenizer_alignment", tokenizer_alignment, None),
+        ("op12_conversation_repair", conversation_repair, None),
+        ("op13_document_fingerprints", document_fingerprints, None),
         ("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     )
 }
