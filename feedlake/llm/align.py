@@ -27,6 +27,7 @@ from feedlake.llm.common import byte_slices
 from feedlake.session import broadcast_if_small, materialize
 
 SPACE = "▁"  # how a piece shows a space
+ALIGNED_BYTES = 1 << 20  # of texts that are aligned together, or one longer text; takes some hundred times as much memory
 MAX_SENT_ROWS, MAX_SENT_BYTES = 1_000_000, 64 << 20  # pair counts sent to all tasks; more are joined by a shuffle
 
 # Fixed value: the pattern that cuts text before the merges of a byte-level vocabulary.
@@ -139,7 +140,7 @@ def align_texts(docs: DataFrame, byte_level: str, pieces: bytes, text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(byte_level, pieces)
         for batch in batches:
-            for part in byte_slices(batch, 0):
+            for part in byte_slices(batch, 0, ALIGNED_BYTES):
                 found = aligner.align(part.column(0).to_pylist())
                 at = pa.array(np.concatenate([[0], np.cumsum([len(p) for p in found["pairs"]])]), pa.int32())
                 lists = [

@@ -50,12 +50,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def byte_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts in the column hold few bytes together."""
+def byte_slices(batch: pa.RecordBatch, column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts in the column hold at most so many bytes together, if not one longer text."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     begin = 0
     while begin < batch.num_rows:
         held = int(ends[begin - 1]) if begin else 0
-        end = max(int(np.searchsorted(ends, held + SLICE_BYTES, "right")), begin + 1)
+        end = max(int(np.searchsorted(ends, held + size, "right")), begin + 1)
         yield batch.slice(begin, end - begin)
         begin = end
