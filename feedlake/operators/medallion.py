@@ -13,6 +13,7 @@ from feedlake.operators.contracts import split_by_contract
 from feedlake.operators.gold import build_gold
 from feedlake.operators.metrics import count_while
 from feedlake.operators.silver import build_silver
+from feedlake.operators.vectors import STAMP_KEY, VECTOR_KEY, stamps_path, vector_table
 from feedlake.profiles import CLUSTER, Profile
 from feedlake.session import broadcast_if_small, materialize
 from feedlake.sources.staging import read_staging
@@ -97,6 +98,8 @@ def load_records(
             before.select("chunk_id", "ingestion_date", "region", "chunk_text", "embedded_at"), "old_gold"
         )
         gold = materialize(_keep_stamps(gold, old), "gold")
+        # First, so that a run that ends here embeds a chunk once more rather than never.
+        _forget_stamps(spark, f"{root}/gold", old, gold)
     _replace_dates(spark, f"{root}/gold", gold, schemas.GOLD, schemas.GOLD_PARTITIONS, dates)
     if old is not None and vector_path:
         _forget_vectors(spark, f"{root}/gold", vector_path, old, gold)
@@ -129,6 +132,13 @@ def _keep_stamps(gold: DataFrame, old: DataFrame) -> DataFrame:
     return joined.withColumn("embedded_at", F.coalesce("embedded_at", "_stamp")).select(*gold.columns)
 
 
+def _forget_stamps(spark: SparkSession, gold_path: str, old: DataFrame, gold: DataFrame) -> None:
+    """Chunks whose text changes, or that go, are not embedded any more."""
+    same = [*STAMP_KEY, "chunk_text"]
+    changed = old.join(gold.select(*same), same, "left_anti").select(*STAMP_KEY)
+    delete_from_table(spark, stamps_path(gold_path), changed, STAMP_KEY, schemas.GOLD_PARTITIONS)
+
+
 def _forget_vectors(
     spark: SparkSession, gold_path: str, vector_path: str, old: DataFrame, gold: DataFrame
 ) -> None:
@@ -142,6 +152,4 @@ def _forget_vectors(
     vectors = gone.join(everywhere, "chunk_id", "left_anti").select(
         namespace(F.col("region")).alias("namespace"), F.col("chunk_id").alias("id")
     )
-    delete_from_table(
-        spark, vector_path, vectors.distinct(), ["namespace", "id"], schemas.VECTOR_PARTITIONS
-    )
+    vector_table(spark, vector_path).delete(vectors, VECTOR_KEY)

@@ -223,6 +223,14 @@ def half_embedded(gold_df: DataFrame) -> DataFrame:
     return gold_df.withColumn("embedded_at", F.when(F.col("chunk_index") % 2 == 0, as_of()))
 
 
+def next_day(gold_df: DataFrame) -> DataFrame:
+    """The French chunks again, a day later, in capitals and not embedded."""
+    return gold_df.filter(F.col("language") == "fr").withColumns({
+        "chunk_text": F.upper("chunk_text"), "ingestion_date": F.date_add("ingestion_date", 1),
+        "embedded_at": F.lit(None).cast("timestamp"),
+    })
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The embeddings as vector records: (id, namespace, language, values, label, metadata)."""
     label, n = F.col("label"), F.col("vec_id")

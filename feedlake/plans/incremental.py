@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feedlake import schemas
 from feedlake.operators.bronze import KEY, load_bronze
-from feedlake.operators.vectors import run_embedding
+from feedlake.operators.vectors import read_gold, run_embedding, vector_table
 from feedlake.plans import adapters as a
 from feedlake.plans.registry import query
 from feedlake.plans.sql import BRONZE_COLUMNS, with_ctes
@@ -73,10 +73,10 @@ def incremental_medallion(spark: SparkSession, d: str) -> DataFrame:
             vector_path=f"{root}/vectors",
         )
         run_embedding(spark, f"{root}/lake/gold", f"{root}/vectors", a.as_of())
-    gold = read_table(spark, f"{root}/lake/gold", schemas.GOLD).select(
+    gold = read_gold(spark, f"{root}/lake/gold").select(
         "chunk_id", "chunk_text", "ingestion_date", F.col("embedded_at").isNotNull().alias("embedded")
     )
-    vectors = read_table(spark, f"{root}/vectors", schemas.VECTORS).select(
+    vectors = vector_table(spark, f"{root}/vectors").read().select(
         F.col("id").alias("chunk_id"), F.lit(True).alias("has_vector")
     )
     return gold.join(vectors, "chunk_id", "full")

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import contextlib
+import dataclasses
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake import schemas
 from feedlake.operators.contracts import split_by_contract
 from feedlake.operators.upsert import append_evolve, mark_embedded, upsert
-from feedlake.operators.vectors import VECTOR_KEY
+from feedlake.operators.vectors import STAMP_KEY, upsert_vectors, vector_table
 from feedlake.plans import adapters as a
 from feedlake.plans.registry import query
 from feedlake.plans.sql import BRONZE_COLUMNS, with_ctes
-from feedlake.session import shared_dir
+from feedlake.session import materialize, shared_dir
 from feedlake.sources.tables import append_table, read_table, upsert_table
+from feedlake.sources.versions import VersionedTable, name_at
 
 STAMP = "2025-02-02 00:00:00"
 
@@ -68,27 +73,69 @@ def marked(spark: SparkSession, d: str) -> DataFrame:
     return mark_embedded(gold, done).select("chunk_id", "language", "embedded_at")
 
 
-def upserted_vectors(spark: SparkSession, d: str) -> DataFrame:
-    """German vectors are replaced by their negatives; Spanish ones also enter the next namespace."""
-    path = shared_dir(spark, "vectors")
-    vectors = a.vectors(spark, d).select(
+def _vector_rows(spark: SparkSession, d: str) -> DataFrame:
+    return a.vectors(spark, d).select(
         "namespace", "id", F.col("values").cast("array<double>").alias("values"), "language",
         F.lit(None).cast("string").alias("metadata"),
     )
-    append_table(vectors, path, schemas.VECTOR_PARTITIONS)
-    replaced = vectors.filter(F.col("language") == "de").withColumn(
-        "values", F.transform("values", lambda x: -x)
-    )
-    copied = vectors.filter(F.col("language") == "es").withColumn("namespace", F.lit("apac"))
-    upsert_table(
-        spark, path, replaced.unionByName(copied), VECTOR_KEY, schemas.VECTOR_PARTITIONS
-    )
-    return read_table(spark, path, schemas.VECTORS).select(
-        "namespace", "id", "language",
-        F.round(F.element_at("values", 1), 6).alias("first_value"), F.size("values").alias("dim"),
+
+
+def upserted_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """German vectors are replaced twice in one source, where the later negatives win over the
+    earlier doubles; Spanish ones also enter the next namespace. Every value of every vector."""
+    table = vector_table(spark, shared_dir(spark, "vectors"))
+    vectors = _vector_rows(spark, d)
+    upsert_vectors(table, vectors)
+    german = vectors.filter(F.col("language") == "de")
+    doubled = german.withColumns({"values": F.transform("values", lambda x: x * 2), "day": F.lit(1)})
+    negated = german.withColumns({"values": F.transform("values", lambda x: -x), "day": F.lit(2)})
+    copied = vectors.filter(F.col("language") == "es").withColumns({"namespace": F.lit("apac"), "day": F.lit(1)})
+    upsert_vectors(table, negated.unionByName(doubled).unionByName(copied), [F.col("day").desc()])
+    return table.read().select("namespace", "id", "language", F.posexplode("values").alias("pos", "x")).withColumn(
+        "x", F.round("x", 6)
     )
 
 
+def switched(spark: SparkSession, d: str) -> DataFrame:
+    """What readers of a table see around a switch: opened before it, in a run that ended before it, after
+    it, and after old versions have gone."""
+    path = shared_dir(spark, "switch")
+    table = VersionedTable(
+        spark, name_at(path), path, schemas.GOLD, tuple(schemas.GOLD_PARTITIONS), ("chunk_id",), schemas.VECTOR_BUCKETS
+    ).create()
+    gold = materialize(a.gold(spark, d), "gold")
+    table.switch(gold, gold)
+    before = table.read()
+    german = gold.filter(F.col("language") == "de").withColumn("chunk_text", F.upper("chunk_text"))
+    with contextlib.suppress(_Ended):
+        _EndsEarly(*[getattr(table, f.name) for f in dataclasses.fields(table)]).upsert(german, STAMP_KEY, [F.col("chunk_text")])
+    ended = table.read()
+
+    def seen(rows: DataFrame, reader: str) -> DataFrame:
+        counted = rows.groupBy("ingestion_date", "region").agg(
+            F.count(F.lit(1)).alias("n_chunks"), F.sum(F.conv(F.substring(F.md5("chunk_text"), 1, 8), 16, 10).cast("long")).alias("digest")
+        )
+        return materialize(counted.select(F.lit(reader).alias("reader"), "*"), "seen")
+
+    seen_ended = seen(ended, "ended")
+    table.upsert(german, STAMP_KEY, [F.col("chunk_text")])
+    views = [seen(before, "before"), seen_ended, seen(table.read(), "after")]
+    table.drop_versions(keep=1)
+    views.append(seen(table.read(), "cleaned"))
+    return functools.reduce(DataFrame.unionByName, views)
+
+
+class _Ended(Exception):
+    pass
+
+
+class _EndsEarly(VersionedTable):
+    """A writer that ends between its files and the switch."""
+
+    def _show(self, table: str) -> None:
+        raise _Ended
+
+
 def violations(spark: SparkSession, d: str) -> DataFrame:
     """Articles in which required columns go missing, by source."""
     n = F.col("doc_id")
@@ -155,10 +202,24 @@ QUERIES = {
         upserted_vectors,
         with_ctes(
             "vectors",
-            select="SELECT namespace, id, language, round(CASE WHEN language = 'de' THEN -vals[1] "
-            "ELSE vals[1] END, 6) AS first_value, len(vals)::INTEGER AS dim FROM vectors "
-            "UNION ALL SELECT 'apac', id, language, round(vals[1], 6), len(vals)::INTEGER "
-            "FROM vectors WHERE language = 'es'",
+            select="SELECT namespace, id, language, pos::INTEGER AS pos, round(x, 6) AS x FROM ("
+            "SELECT namespace, id, language, unnest(range(0, len(vals))) AS pos, "
+            "unnest(CASE WHEN language = 'de' THEN list_transform(vals, lambda v: -v) ELSE vals END) AS x FROM vectors "
+            "UNION ALL SELECT 'apac', id, language, unnest(range(0, len(vals))), unnest(vals) "
+            "FROM vectors WHERE language = 'es')",
+        ),
+    ),
+    "version_switch": query(
+        switched,
+        with_ctes(
+            "gold",
+            select="""
+    SELECT reader, ingestion_date, region, count(*) AS n_chunks, sum(crc)::BIGINT AS digest FROM (
+      SELECT r.reader, ingestion_date, region,
+             ('0x' || substr(md5(CASE WHEN language = 'de' AND r.reader IN ('after', 'cleaned')
+                                      THEN upper(chunk_text) ELSE chunk_text END), 1, 8))::BIGINT AS crc
+      FROM gold, (VALUES ('before'), ('ended'), ('after'), ('cleaned')) r(reader))
+    GROUP BY ALL""",
         ),
     ),
     "contract_violations": query(

@@ -99,6 +99,14 @@ GOLD = _schema(
     embedded_at=TIME,
 )
 
+# That a chunk has been embedded: beside gold, so that no text is moved for it.
+STAMPS = _schema(
+    chunk_id=TEXT_REQUIRED,
+    embedded_at=TIME,
+    ingestion_date=DATE_REQUIRED,
+    region=TEXT_REQUIRED,
+)
+
 VECTORS = _schema(
     namespace=TEXT_REQUIRED,
     id=TEXT_REQUIRED,
@@ -111,3 +119,4 @@ BRONZE_PARTITIONS = ["ingestion_date", "region"]
 SILVER_PARTITIONS = ["ingestion_date", "language"]
 GOLD_PARTITIONS = ["ingestion_date", "region"]
 VECTOR_PARTITIONS = ["namespace"]
+VECTOR_BUCKETS = 8  # of ids; a table of billions asks for thousands

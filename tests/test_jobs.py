@@ -13,7 +13,7 @@ from feedlake.operators.bronze import KEY, load_bronze
 from feedlake.operators.gold import sample_articles
 from feedlake.operators.medallion import run_medallion
 from feedlake.operators.silver import build_silver, dedup_latest
-from feedlake.operators.vectors import pending_batch, run_embedding
+from feedlake.operators.vectors import pending_batch, read_gold, run_embedding, vector_table
 from feedlake.plans import adapters as a
 from feedlake.profiles import LOCAL
 from feedlake.session import broadcast_if_small, shared_dir
@@ -57,10 +57,10 @@ def test_embedding_job_in_bounded_runs(spark, sf_dir):
             spark, gold, vectors, F.lit(f"2025-02-0{run + 1}").cast("timestamp"), max_rows=110
         )
         sent.append(sum(r["n_vectors"] for r in counts.collect()))
-        pending = pending_batch(read_table(spark, gold, schemas.GOLD), max_rows=None).count()
+        pending = pending_batch(read_gold(spark, gold), max_rows=None).count()
         assert pending == max(total - 110 * (run + 1), 0)
     assert sent == [min(110, max(total - 110 * i, 0)) for i in range(4)] and sum(sent) == total
-    table = read_table(spark, vectors, schemas.VECTORS)
+    table = vector_table(spark, vectors).read()
     assert table.count() == total
     assert {r[0] for r in table.select("namespace").distinct().collect()} == {
         "global", "emea", "americas"
@@ -105,10 +105,10 @@ def test_hourly_runs_end_like_one_run(spark, streamed):
     ):
         one = rows(read_table(spark, f"{whole}/{name}", schema), *columns)
         assert rows(read_table(spark, f"{root}/{name}", schema), *columns) == one
-    gold = read_table(spark, f"{root}/gold", schemas.GOLD)
+    gold = read_gold(spark, f"{root}/gold")
     assert rows(gold, "chunk_id") == [("b_0",), ("d_0",)]
     assert gold.filter("embedded_at IS NULL").count() == 0
-    assert rows(read_table(spark, f"{root}/vectors", schemas.VECTORS), "id") == [("b_0",), ("d_0",)]
+    assert rows(vector_table(spark, f"{root}/vectors").read(), "id") == [("b_0",), ("d_0",)]
 
 
 def test_input_order_is_that_of_the_files(spark):
