@@ -11,7 +11,9 @@ their first nodes ask for, those in large nodes as many as the deepest node asks
 
 Copies of a set are one member, its class. Rounds keep the work linear in large groups:
 first every member of a node is compared with one pivot, which links most of a group of
-near copies; then only members of different components are compared.
+near copies; then only members of different components are compared. A node is compared
+inside one task, through which its members pass beside a few of them that are held; pairs
+become rows once their sketches agree, and are confirmed on stored sets.
 """
 
 from __future__ import annotations
@@ -26,23 +28,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import written
+from feedlake.llm.common import byte_slices, written
 from feedlake.llm.components import components, merged
 from feedlake.session import broadcast_if_small, materialize
 
 PERCENT = 80
-TOKENS = 256  # minwise tokens of a sketch
+TOKENS = 512  # minwise tokens of a sketch, eight bits each
 MISS = 1e-5  # chance that no tree finds a pair at the threshold whose sketch lies within the margin
 PIVOT_TREES = 6  # the first ones, whose nodes are searched by pivots first
 PIVOT_TURNS = 2
-BACKGROUND = 0.02  # similarity of unrelated documents that trees must tell apart
+BACKGROUND = 0.03  # similarity of unrelated documents that trees must tell apart, chance agreement of tokens included
 MAX_LEVELS = 30  # nodes still large then are compared in full
 LEVELS_AT_ONCE = 2  # that large nodes branch on by
 PAIRS_PER_MEMBER = 64  # a node is small if it holds at most that many pairs to compare for each member
-MARGIN = 0.09  # how far a sketch's estimate may lie under the similarity, 3.6 deviations
+MARGIN = 0.064  # how far a sketch's estimate may lie under the similarity, 3.6 deviations
+SURE = 0.064  # an estimate so far above the threshold is nearly always a link
 _ID = "__feedlake_id"
+PASSING = 4096  # members of a node that pass by its leading ones in one task
 MAX_SENT_IDS = 1_000_000  # of documents to compare; more are joined by a shuffle
-SLICE = 256  # texts turned into sets together
+SLICE = 256  # rows compared or sketched together
+SET_BYTES = 1 << 20  # of texts turned into sets together, or one longer text
 
 _U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
@@ -103,16 +108,16 @@ def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
 
 
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of minwise tokens, 16 bits each, for every set that is not empty."""
+    """A row of minwise tokens, 8 bits each, for every set that is not empty."""
     rng = np.random.default_rng(5)
     factors = rng.integers(1 << 31, size=TOKENS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     shifts = rng.integers(1 << 32, size=TOKENS, dtype=np.uint32)
     values = np.concatenate(sets).astype(np.uint32)
     begin = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
-    out = np.empty((len(sets), TOKENS), dtype=np.uint16)
+    out = np.empty((len(sets), TOKENS), dtype=np.uint8)
     for i, (a, b) in enumerate(zip(factors, shifts)):
         least = np.minimum.reduceat(values * a + b, begin)
-        out[:, i] = (least * np.uint32(0x9E3779B1)) >> np.uint32(16)
+        out[:, i] = (least * np.uint32(0x9E3779B1)) >> np.uint32(24)
     return out
 
 
@@ -121,8 +126,7 @@ def _sketched(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, SLICE):
-                part = batch.slice(begin, SLICE)
+            for part in byte_slices(batch, 1, SET_BYTES):
                 sets = shingle_sets(part.column(1).to_pylist(), words)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 rows: list[bytes | None] = [None] * len(sets)
@@ -193,7 +197,7 @@ def _branch(nodes: np.ndarray, tokens: np.ndarray, per_node: float) -> tuple[np.
     turn = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)).astype(np.uint64)
     first, step = digest[row] & _U(0xFFFF), (digest[row] >> _U(16)) & _U(0xFFFF) | _U(1)
     column = ((first + turn * step) % _U(TOKENS)).astype(np.int64)
-    token = tokens[row, column].astype(np.uint64) | (column.astype(np.uint64) << _U(16))
+    token = tokens[row, column].astype(np.uint64) | (column.astype(np.uint64) << _U(8))
     return row, _mixed(_mixed(token + _U(1)) ^ nodes[row])
 
 
@@ -205,7 +209,7 @@ def _instances(classes: DataFrame, trees: range, levels: int, percent: int) -> D
         for batch in batches:
             for begin in range(0, batch.num_rows, 4096):
                 part = batch.slice(begin, 4096)
-                tokens = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint16).reshape(-1, TOKENS)
+                tokens = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(-1, TOKENS)
                 owners, keys = [], []
                 for tree in trees:
                     owner = np.arange(len(tokens))
@@ -231,7 +235,7 @@ def _deeper(members: DataFrame, classes: DataFrame, percent: int, levels: int) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                tokens = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint16).reshape(-1, TOKENS)
+                tokens = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, TOKENS)
                 key, row = batch.column(0).to_numpy().view(np.uint64), np.arange(len(tokens))
                 for _ in range(levels):
                     child, key = _branch(key, tokens[row], per_node)
@@ -246,65 +250,132 @@ def _deeper(members: DataFrame, classes: DataFrame, percent: int, levels: int) -
     return joined.select("node", "id", "n", "sketch").mapInArrow(run, "node long, id long, n long")
 
 
-def _fits(a: str, b: str, percent: int):
-    """Sizes that allow the similarity."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _least_same(percent: int) -> int:
+    """So many tokens of two sketches agree at least, if the pair may be similar enough."""
+    return math.ceil(max(percent / 100 - MARGIN, 0.05) * TOKENS)
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b, same): pairs whose sketches agree nearly as often as the threshold asks."""
-    least = max(percent / 100 - MARGIN, 0.05) * TOKENS
+def _compared(members: DataFrame, classes: DataFrame, percent: int, best: bool = True) -> DataFrame:
+    """(a, b, same): in each node, its `leading` members against all members of other components.
+
+    `members` has node, id, n, label, leading, and the size of the node. Pairs come out if their sizes allow the similarity
+    and their sketches agree as often as the threshold asks. With `best`, a member whose estimate
+    with some member of a component is sure to be a link is not paired with others of that component.
+
+    A node's leading members come first and are held; all others pass by. Small nodes have few of
+    them, whatever their size: nodes hold at most so many pairs for each member.
+    """
+    least, sure = _least_same(percent), math.ceil(min(percent / 100 + SURE, 1) * TOKENS)
+
+    def pairs(held: list[tuple], rows: list[tuple], itself: bool) -> list[tuple[int, int, int]]:
+        out = []
+        if not held or not rows:
+            return out
+        y = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(-1, TOKENS)
+        id_b, n_b, label_b = (np.array([r[k] for r in rows], np.int64) for k in range(3))
+        for i, (id_a, n_a, label_a, sketch) in enumerate(held):
+            fits = (label_b != label_a) & (100 * np.minimum(n_b, n_a) >= percent * np.maximum(n_b, n_a))
+            if itself:
+                fits[: i + 1] = False
+            at = np.flatnonzero(fits)
+            if not len(at):
+                continue
+            same = (y[at] == np.frombuffer(sketch, np.uint8)).sum(axis=1)
+            near = same >= least
+            out += [(id_a, b, s, c) for b, s, c in zip(id_b[at[near]].tolist(), same[near].tolist(), label_b[at[near]].tolist())]
+        return out
+
+    def chosen(found: list[tuple]) -> list[tuple[int, int, int]]:
+        """Of a held member's sure links into one component the surest; all pairs that are not sure."""
+        top: dict[tuple[int, int], tuple[int, int]] = {}
+        for a, b, s, c in found:
+            if s >= sure:
+                top[a, c] = max(top.get((a, c), (0, 0)), (s, -b))
+        return [(a, b, s) for a, b, s, c in found if not best or (a, c) not in top or top[a, c] == (s, -b)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, held, rest, found, out = None, [], [], [], []
+
+        def passed() -> None:
+            nonlocal rest
+            found.extend(pairs(held, rest, False))
+            rest = []
+
+        def closed() -> None:
+            nonlocal held, found
+            passed()
+            if node is not None and not node[1]:
+                found.extend(pairs(held, held, True))
+            out.extend(chosen(found))
+            held, found = [], []
+
         for batch in batches:
-            x, y = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, TOKENS)
-                for c in (2, 3)
-            )
-            same = (x == y).sum(axis=1)
-            keep = pa.array(np.flatnonzero(same >= least))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(keep), batch.column(1).take(keep), pa.array(same).take(keep)],
-                ["a", "b", "same"],
-            )
-
-    s = classes.select("id", "sketch")
+            for now, place, leading, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                now = now, place
+                if now != node:
+                    closed()
+                    node = now
+                if leading:
+                    held.append(row)
+                elif held:
+                    rest.append(row)
+                    if len(rest) >= SLICE:
+                        passed()
+            if out:
+                yield _pair_batch(out)
+                out.clear()
+        closed()
+        if out:
+            yield _pair_batch(out)
+
+    # A node of many members is dealt over tasks, and its leading members, which are few, go to each.
+    parts = F.ceil(F.col("size") / PASSING)
+    places = F.when(F.col("leading"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), parts)))
+    dealt = members.withColumn("place", F.explode(places.cast("array<long>")))
+    told = dealt.join(classes.select("id", "sketch"), "id").select("node", "place", "leading", "id", "n", "label", "sketch")
+    dealt = told.repartition("node", "place").sortWithinPartitions("node", "place", F.desc("leading"), "id")
     return (
-        pairs.join(s.select(F.col("id").alias("a"), F.col("sketch").alias("x")), "a")
-        .join(s.select(F.col("id").alias("b"), F.col("sketch").alias("y")), "b")
-        .select("a", "b", "x", "y").mapInArrow(run, "a long, b long, same long")
+        dealt.mapInArrow(run, "a long, b long, same long")
+        .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("same").alias("same"))
     )
 
 
+def _pair_batch(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], ["a", "b", "same"])
+
+
 def _confirmed(
     pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int
 ) -> DataFrame:
-    """(u, v): the pairs whose full sets are similar enough."""
+    """(u, v): the pairs whose full sets are similar enough. A set is made once for all its pairs."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in byte_slices(batch, 1, SET_BYTES):
+                sets = shingle_sets(part.column(1).to_pylist(), words)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in sets], pa.binary())], ["id", "set"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             us, vs = [], []
-            for begin in range(0, batch.num_rows, SLICE):
-                part = batch.slice(begin, SLICE)
-                x, y = (shingle_sets(part.column(c).to_pylist(), words) for c in (2, 3))
-                a, b = (part.column(c).to_pylist() for c in (0, 1))
-                for i in range(len(x)):
-                    shared = len(x[i]) + len(y[i]) - len(np.union1d(x[i], y[i]))
-                    if 100 * shared >= percent * (len(x[i]) + len(y[i]) - shared) and shared:
-                        us.append(a[i])
-                        vs.append(b[i])
+            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns)):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                if shared and 100 * shared >= percent * (len(x) + len(y) - shared):
+                    us.append(a)
+                    vs.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = materialize(
-        docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-        .join(broadcast_if_small(asked, MAX_SENT_IDS), "id", "left_semi"),
-        "near_texts",
+    asked = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).join(
+        broadcast_if_small(asked, MAX_SENT_IDS), "id", "left_semi"
     )
+    # Rows that repeat an id and its text are one.
+    sets = materialize(texts.mapInArrow(made, "id long, set binary").distinct(), "near_sets")
     return (
-        broadcast_if_small(pairs, MAX_SENT_IDS)
-        .join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
-        .join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
+        broadcast_if_small(pairs.select("a", "b"), MAX_SENT_IDS)
+        .join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
+        .join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
         .select("a", "b", "x", "y").mapInArrow(run, "u long, v long")
     )
 
@@ -318,7 +389,7 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _mixed_nodes(members: DataFrame) -> DataFrame:
-    """(node, mode, large): nodes that hold more than one component.
+    """(node, mode, size, large): nodes that hold more than one component.
 
     `mode` is the component with most members there; a node is large if it holds too
     many pairs between components.
@@ -327,12 +398,10 @@ def _mixed_nodes(members: DataFrame) -> DataFrame:
     nodes = per_label.groupBy("node").agg(
         F.count(F.lit(1)).alias("labels"), F.sum("c").alias("s"),
         F.sum(F.col("c").cast("double") * F.col("c")).alias("squares"),
-        F.max(F.struct("c", "label")).alias("most"),
+        F.max_by("label", F.struct("c", "label")).alias("mode"),
     )
     pairs = (F.col("s").cast("double") * F.col("s") - F.col("squares")) / 2
-    return nodes.filter("labels > 1").select(
-        "node", F.col("most.label").alias("mode"), (pairs > PAIRS_PER_MEMBER * F.col("s")).alias("large")
-    )
+    return nodes.filter("labels > 1").select("node", "mode", F.col("s").alias("size"), (pairs > PAIRS_PER_MEMBER * F.col("s")).alias("large"))
 
 
 def _to_pivots(members: DataFrame, classes: DataFrame, percent: int, turn: int) -> DataFrame:
@@ -341,37 +410,29 @@ def _to_pivots(members: DataFrame, classes: DataFrame, percent: int, turn: int)
     A node's pivot is drawn by a digest, another one each turn, so a member meets as many
     pivots as it has nodes, and the pairs are no more than the members.
     """
-    drawn = F.struct(F.xxhash64("node", "id", F.lit(turn)).alias("h"), "id", "n", "label")
     pivots = (
         members.groupBy("node")
-        .agg(F.min(drawn).alias("p"), F.min("label").alias("low"), F.max("label").alias("high"))
-        .filter("low != high")
-        .select("node", F.col("p.id").alias("b"), F.col("p.n").alias("n_b"), F.col("p.label").alias("label_b"))
+        .agg(
+            F.min_by("id", F.xxhash64("node", "id", F.lit(turn))).alias("pivot"), F.count(F.lit(1)).alias("size"),
+            F.min("label").alias("low"), F.max("label").alias("high"),
+        )
+        .filter("low != high").select("node", "pivot", "size")
     )
-    pairs = (
-        members.join(pivots, "node").filter(F.col("label") != F.col("label_b")).filter(_fits("n", "n_b", percent))
-        .select(F.col("id").alias("a"), "b").distinct()
+    leading = (F.col("id") == F.col("pivot")).alias("leading")
+    pairs = _compared(
+        members.join(pivots, "node").select("node", "id", "n", "label", leading, "size"),
+        classes, percent, best=False,
     )
-    return _estimated(pairs, classes, percent).groupBy("a").agg(
-        F.max(F.struct("same", "b")).alias("x")
-    ).select("a", F.col("x.b").alias("b"))
-
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "same"))
+    best = both.groupBy("a").agg(F.max_by("b", F.struct("same", "b")).alias("b"))
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-def _pairs_across(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of members of the nodes that are in different components.
 
-    One of the two is always outside the node's largest component, so the members of
-    a large component are never paired with each other.
-    """
-    inside = members.join(nodes.select("node", "mode"), "node")
-    fewer = inside.filter("label != mode").select(
-        "node", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a")
-    )
-    return (
-        fewer.join(inside, "node")
-        .filter((F.col("label_a") != F.col("label")) & ((F.col("label") == F.col("mode")) | (F.col("a") < F.col("id"))))
-        .filter(_fits("n_a", "n", percent))
-        .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+def _across(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The nodes' members for `_compared`: those outside of a node's largest component lead, so that
+    members of a large component are never paired with each other."""
+    return members.join(nodes.select("node", "mode", "size"), "node").select(
+        "node", "id", "n", "label", (F.col("label") != F.col("mode")).alias("leading"), "size"
     )
 
 
@@ -385,14 +446,15 @@ def classes_of(members: DataFrame) -> DataFrame:
 def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     """(u, v): each class that is not the least of its component, with that least one."""
     total = classes.count()
-    levels = max(2, round(math.log(max(total, 2)) / -math.log(BACKGROUND)))
+    # So many that hardly any unrelated documents share a node.
+    levels = max(2, math.ceil(math.log(max(total, 2)) / -math.log(BACKGROUND)))
     args = (docs, id_col, text_col, words, percent)
 
     first = materialize(_instances(classes, range(PIVOT_TREES), levels, percent), "near_nodes")
     labels = None
     for turn in range(PIVOT_TURNS):
         members = first.withColumn("label", F.col("id")) if labels is None else _labelled(first, labels)
-        links = _confirmed(_to_pivots(members, classes, percent, turn), *args)
+        links = _confirmed(materialize(_to_pivots(members, classes, percent, turn), "near_pairs"), *args)
         labels = components(links) if labels is None else merged(labels, links)
 
     trees = max(trees_for(levels, percent), PIVOT_TREES)
@@ -408,6 +470,22 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, word
     return labels
 
 
+def _linked(members: DataFrame, classes: DataFrame, labels: DataFrame, args: tuple) -> DataFrame:
+    """Labels after the nodes' members are compared across components."""
+    percent = args[-1]
+    for best in (True, False):
+        pairs, n = written(_compared(members, classes, percent, best), "near_pairs", pairs=F.count(F.lit(1)))
+        if not n["pairs"]:
+            break
+        links = materialize(_confirmed(pairs, *args), "near_links")
+        labels = merged(labels, links)
+        sure = pairs.filter(F.col("same") >= math.ceil(min(percent / 100 + SURE, 1) * TOKENS))
+        # A sure pair that is none may have stood in for others.
+        if not best or not sure.join(links, (F.col("a") == F.col("u")) & (F.col("b") == F.col("v")), "left_anti").limit(1).count():
+            break
+    return labels
+
+
 def _searched(
     members: DataFrame, classes: DataFrame, labels: DataFrame, levels: int, args: tuple
 ) -> tuple[DataFrame, int, DataFrame | None]:
@@ -423,13 +501,8 @@ def _searched(
             break
         last = depth >= MAX_LEVELS or not n["large"]
         if n["all"] > n["large"] or last:
-            small = nodes if last else nodes.filter("NOT large")
-            pairs, n = written(
-                _estimated(_pairs_across(members, small, percent), classes, percent), "near_pairs",
-                pairs=F.count(F.lit(1)),
-            )
-            if n["pairs"]:
-                labels = merged(labels, _confirmed(pairs.select("a", "b"), *args))
+            inside_small = _across(members, nodes if last else nodes.filter("NOT large"))
+            labels = _linked(inside_small, classes, labels, args)
         if last:
             break
         large = nodes.filter("large").select("node")

@@ -64,18 +64,16 @@ def fit(texts: list[str | None], labels: list[int]) -> Model:
     share = (y.sum() + 0.5) / (len(y) + 1)
     if not 0 < y.sum() < len(y):
         return Model(np.zeros(size, np.float32), float(np.log(share / (1 - share))))
-    found = [features(t) for t in texts]
+    # N-grams are taken from the texts twice, one text at a time: all of them side by side would fill the driver.
     toxic, other = np.full(size, SMOOTHING), np.full(size, SMOOTHING)
-    for f, label in zip(found, labels):
-        (toxic if label else other)[f] += 1
+    for text, label in zip(texts, labels):
+        (toxic if label else other)[features(text)] += 1
     ratio = np.log(toxic / (y.sum() + 2 * SMOOTHING)) - np.log(other / (len(y) - y.sum() + 2 * SMOOTHING))
     # An n-gram of fewer than three texts tells nothing about others.
     ratio[toxic + other < 3 + 2 * SMOOTHING] = 0
     tells = np.abs(ratio) * np.sqrt(toxic + other)
     tells = tells > max(np.partition(tells, -TELLING)[-TELLING], 0)
-    # Texts are narrowed down one by one: all their n-grams side by side would fill the driver.
-    for i, f in enumerate(found):
-        found[i] = f[tells[f]]
+    found = [f[tells[f]] for f in map(features, texts)]
     rows = np.repeat(np.arange(len(y), dtype=np.int32), [len(f) for f in found])
     used, columns = np.unique(np.concatenate(found), return_inverse=True)
     columns = columns.astype(np.int32)
@@ -128,19 +126,24 @@ def training_sample(
 ) -> tuple[list[str], list[int]]:
     """Texts and labels of at most `sample_rows` rows per class, none of them held out.
 
-    The rows are those whose ids have the smallest digests, so the sample does not
-    depend on the order of rows.
+    The rows are those whose ids have the smallest digests, among the ids that have both a label
+    and a text of at most `sample_chars` characters, so the sample depends neither on the order
+    of rows nor on labels without a text. An id counts once, with its first text in order and its
+    smallest label. Empty tables give no rows.
     """
     known = labels.select(
         F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").cast("int").alias("_label")
-    ).filter(F.col("_label").isin(0, 1) & ~held_out(F.col("_id")))
+    ).filter(F.col("_label").isin(0, 1) & ~held_out(F.col("_id"))).groupBy("_id").agg(F.min("_label").alias("_label"))
+    short = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).filter(
+        F.length("_text") <= sample_chars
+    )
+    usable = known.join(short.select("_id"), "_id", "left_semi")
     chosen = [
-        known.filter(F.col("_label") == y).orderBy(F.xxhash64("_id"), "_id").limit(sample_rows) for y in (0, 1)
+        usable.filter(F.col("_label") == y).orderBy(F.xxhash64("_id"), "_id").limit(sample_rows) for y in (0, 1)
     ]
     rows = (
-        docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
-        .filter(F.length("_text") <= sample_chars)
-        .join(F.broadcast(chosen[0].unionByName(chosen[1]).dropDuplicates(["_id"])), "_id")
+        short.join(F.broadcast(chosen[0].unionByName(chosen[1])), "_id")
+        .groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
         .select("_id", "_text", "_label").toArrow().sort_by([("_id", "ascending"), ("_text", "ascending")])
     )
     return rows.column("_text").to_pylist(), rows.column("_label").to_pylist()
@@ -168,12 +171,15 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
 def drop_toxic(
     docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text"
 ) -> DataFrame:
-    """The rows with a score under `least`, with all their columns, in whatever types they have.
+    """The rows with a score under `least`, with all their columns, in whatever types and by whatever names they have.
 
-    A model without weights, as one learnt without examples of both classes, tells no text from
+    A null or empty text has the score of no n-grams at all; texts of any length are scored whole, a
+    repeated row stays or goes each time, and an empty table gives none. A model without weights, as one learnt without examples of both classes, tells no text from
     another: all rows stay, with a warning.
     """
-    schema = docs.schema
+    # By position: a name may hold a dot or stand there twice.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    schema = plain.schema
     place = docs.columns.index(text_col)
     at = np.flatnonzero(model.weights)
     if not len(at):
@@ -188,4 +194,4 @@ def drop_toxic(
         for batch in batches:
             yield batch.filter(pa.array(score_texts(batch.column(place).to_pylist(), own) < least))
 
-    return docs.mapInArrow(run, schema)
+    return plain.mapInArrow(run, schema).toDF(*docs.columns)

@@ -17,7 +17,7 @@ from tests.oracle import connect, difference
 
 def test_queries_are_registered():
     names = [n for n in queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted({n.split("_")[0] for n in names}) == sorted([*(f"op{i}" for i in range(1, 11)), "pipeline"])
+    assert sorted({n.split("_")[0] for n in names}) == sorted([*(f"op{i}" for i in range(1, 14)), "pipeline"])
     assert set(oracle_sql()) >= {"op1_url_filter", "op8_rule_cascade", "op10_near_copies"}
 
 
