@@ -14,7 +14,9 @@ changes the paragraphs it touches and no others, however long the lines are.
 from __future__ import annotations
 
 import base64
+import itertools
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -29,7 +31,7 @@ CELLS = 24  # of a stored fingerprint; three parts of eight
 PARTS = 3  # cells of a digest, one in each part
 GROWTH = 4  # of the cells where peeling gets stuck
 CUT_EVERY = 3  # words of a paragraph on average, within a line
-ROWS_PER_RANGE = 8192  # documents that lie next to each other in one task
+ROWS_PER_RANGE = 1024  # documents that lie next to each other in one task
 MAX_RANGES = 100_000
 
 _U = np.uint64
@@ -37,7 +39,7 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
-_CELL = np.dtype([("count", "<i4"), ("check", "<u4"), ("sum", "<u8")])
+_CELL = np.dtype([("count", "<i4"), ("check", "<u4"), ("total", "<u8")])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -82,113 +84,124 @@ def paragraphs(texts: list[str]) -> list[np.ndarray]:
     place = np.arange(len(word)) - np.repeat(first, last - first + 1)
     part = mixed(np.add.reduceat(word * mixed(place.astype(np.uint64) + _U(1)), first) + (last - first + 1).astype(np.uint64))
     owner = np.searchsorted(text_ends, starts[first], "right")
-    # Equal paragraphs of a text are told apart by their number.
-    order = np.lexsort((part, owner))
-    part, owner = part[order], owner[order]
-    fresh = np.append(True, (part[1:] != part[:-1]) | (owner[1:] != owner[:-1]))
-    begin = np.flatnonzero(fresh)
-    number = np.arange(len(part)) - np.repeat(begin, np.diff(np.append(begin, len(part))))
-    part = mixed(part + mixed(number.astype(np.uint64)))
     cuts = np.searchsorted(owner, np.arange(1, len(texts)))
-    return [np.sort(p) for p in np.split(part, cuts)]
+    return [_numbered(np.sort(p)) for p in np.split(part, cuts)]
+
+
+def _numbered(part: np.ndarray) -> np.ndarray:
+    """Sorted digests, of which equal ones are told apart by their number."""
+    again = part[1:] == part[:-1]
+    if not again.any():
+        return part
+    begin = np.flatnonzero(np.append(True, ~again))
+    number = np.arange(len(part)) - np.repeat(begin, np.diff(np.append(begin, len(part))))
+    return np.sort(np.where(number > 0, mixed(part + mixed(number.astype(np.uint64))), part))
 
 
-def sketch(sets: list[np.ndarray], cells: int = CELLS) -> np.ndarray:
+class Cells(NamedTuple):
     """A row of cells for every set: how many digests each holds, their sum, and that of their checks."""
-    out = np.zeros((len(sets), cells), dtype=_CELL)
+
+    count: np.ndarray
+    total: np.ndarray
+    check: np.ndarray
+
+    def rows(self, which: np.ndarray) -> Cells:
+        return Cells(*(x[which] for x in self))
+
+
+def sketch(sets: list[np.ndarray], cells: int = CELLS) -> Cells:
+    n = len(sets)
+    out = Cells(np.zeros(n * cells, np.int32), np.zeros(n * cells, np.uint64), np.zeros(n * cells, np.uint32))
     keys = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    if not len(keys):
-        return out
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    places = _places(keys, cells)
-    flat = (row[:, None] * cells + places).ravel()
-    order = np.argsort(flat, kind="stable")
-    flat, keys = flat[order], np.repeat(keys, PARTS)[order]
-    begin = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
-    cell = out.reshape(-1)
-    cell["count"][flat[begin]] = np.diff(np.append(begin, len(flat)))
-    cell["sum"][flat[begin]] = np.add.reduceat(keys, begin)
-    cell["check"][flat[begin]] = np.add.reduceat(_checks(keys), begin)
-    return out
-
-
-def _places(keys: np.ndarray, cells: int) -> np.ndarray:
+    if len(keys):
+        row = np.repeat(np.arange(n), [len(s) for s in sets])
+        checks = _checks(keys)
+        for place in _places(keys, cells):
+            flat = row * cells + place
+            out.count[:] += np.bincount(flat, minlength=n * cells).astype(np.int32)
+            np.add.at(out.total, flat, keys)
+            np.add.at(out.check, flat, checks)
+    return Cells(*(x.reshape(n, cells) for x in out))
+
+
+def _places(keys: np.ndarray, cells: int) -> list[np.ndarray]:
     """The cells of each key, one in each part; another choice for every size."""
     part = cells // PARTS
-    return np.stack(
-        [mixed(keys ^ mixed(np.array([cells * PARTS + i], np.uint64))) % _U(part) + _U(i * part) for i in range(PARTS)], 1
-    ).astype(np.int64)
+    return [
+        (mixed(keys ^ mixed(np.array([cells * PARTS + i], np.uint64))) % _U(part)).astype(np.int64) + i * part
+        for i in range(PARTS)
+    ]
 
 
 def _checks(keys: np.ndarray) -> np.ndarray:
     return (mixed(keys + _U(_STEP)) >> _U(32)).astype(np.uint32)
 
 
-def subtract(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The sketches of what only one side has: minus digests count below nothing."""
-    out = np.zeros_like(left)
-    for field in ("count", "sum", "check"):
-        out[field] = left[field] - right[field]
-    return out
-
-
-def peel(cells: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Per row the digests of the left side alone and of the right side alone, and whether all are found."""
-    cells = cells.copy()
-    n, width = cells.shape
-    rows, keys, signs = [], [], []
-    while True:
-        one = np.abs(cells["count"]) == 1
-        key = np.where(cells["count"] == -1, _U(0) - cells["sum"], cells["sum"])
-        check = np.where(cells["count"] == -1, np.uint32(0) - cells["check"], cells["check"])
-        r, c = np.nonzero(one & (_checks(key) == check))
-        if not len(r):
-            break
-        key, sign = key[r, c], cells["count"][r, c]
+def subtract(left: Cells, right: Cells) -> Cells:
+    """The sketches of what only one side has: digests of the right side count below nothing."""
+    return Cells(*(x - y for x, y in zip(left, right)))
+
+
+def peel(cells: Cells) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
+    """Per row the digests of the left side alone and of the right side alone, whether all are found, and
+    of those that are not how many there are at least."""
+    count, total, check = (x.copy() for x in cells)
+    n, width = count.shape
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    active = np.arange(n)
+    while len(active):
+        r, c = np.nonzero(np.abs(count[active]) == 1)
+        r = active[r]
+        sign = count[r, c]
+        key = np.where(sign < 0, _U(0) - total[r, c], total[r, c])
+        checks = _checks(key)
+        pure = np.where(sign < 0, np.uint32(0) - check[r, c], check[r, c]) == checks
+        r, key, sign, checks = r[pure], key[pure], sign[pure], checks[pure]
         # A digest may be alone in several of its cells: it is taken once.
-        _, once = np.unique(np.stack([r.astype(np.uint64), key]), axis=1, return_index=True)
-        r, key, sign = r[once], key[once], sign[once]
-        places = _places(key, width)
-        at, many = (np.repeat(r, PARTS), places.ravel()), np.repeat(key, PARTS)
-        plus = np.repeat(sign, PARTS)
-        np.subtract.at(cells["count"], at, plus)
-        np.subtract.at(cells["sum"], at, np.where(plus == 1, many, _U(0) - many))
-        checks = _checks(many)
-        np.subtract.at(cells["check"], at, np.where(plus == 1, checks, np.uint32(0) - checks))
-        rows.append(r)
-        keys.append(key)
-        signs.append(sign)
-    done = ~(cells["count"].any(1) | cells["sum"].any(1) | cells["check"].any(1))
-    row = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-    sign = np.concatenate(signs) if signs else np.zeros(0, np.int32)
+        _, once = np.unique(key ^ mixed(r.astype(np.uint64)), return_index=True)
+        r, key, sign, checks = r[once], key[once], sign[once], checks[once]
+        signed = np.where(sign < 0, _U(0) - key, key), np.where(sign < 0, np.uint32(0) - checks, checks)
+        for place in _places(key, width):
+            np.subtract.at(count, (r, place), sign)
+            np.subtract.at(total, (r, place), signed[0])
+            np.subtract.at(check, (r, place), signed[1])
+        found.append((r, key, sign))
+        active = np.unique(r)
+    done = ~(count.any(1) | total.any(1) | check.any(1))
+    row, key, sign = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
     order = np.argsort(row, kind="stable")
     row, key, sign = row[order], key[order], sign[order]
     cuts = np.searchsorted(row, np.arange(1, n)) if n else []
     both = list(zip(np.split(key, cuts), np.split(sign, cuts))) if n else []
-    return [k[s == 1] for k, s in both], [k[s == -1] for k, s in both], done
+    left = np.bincount(row, minlength=n) + np.abs(count).sum(1) // PARTS
+    return [k[s == 1] for k, s in both], [k[s == -1] for k, s in both], done, left
 
 
 def differences(
-    left: list[np.ndarray], right: list[np.ndarray], cells: int = CELLS,
-    sketches: tuple[np.ndarray, np.ndarray] | None = None,
+    left: list[np.ndarray], right: list[np.ndarray], cells: int = CELLS, sketches: tuple[Cells, Cells] | None = None,
 ) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """The digests that only one of two sets holds, out of their sketches: pair by pair, each side sorted.
 
     Pairs whose difference is too large for the cells are sketched again with four times as many,
-    and so on; each size chooses its cells anew.
+    or more where what is left asks for them; each size chooses its cells anew.
     """
     only: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)] * len(left), [np.zeros(0, np.uint64)] * len(left)]
-    rest = list(range(len(left)))
-    while rest:
+    sizes = np.full(len(left), cells)
+    rest = np.arange(len(left))
+    while len(rest):
+        now = int(sizes[rest].min())
+        group = rest[sizes[rest] == now]
         if sketches is None:
-            sketches = sketch([left[i] for i in rest], cells), sketch([right[i] for i in rest], cells)
-        *sides, done = peel(subtract(*sketches))
-        for place, i in enumerate(rest):
-            if done[place]:
-                only[0][i], only[1][i] = (np.sort(s[place]) for s in sides)
-        rest = [i for place, i in enumerate(rest) if not done[place]]
-        sketches, cells = None, cells * GROWTH
+            sketches = sketch([left[i] for i in group], now), sketch([right[i] for i in group], now)
+        *sides, done, least = peel(subtract(*sketches))
+        for place in np.flatnonzero(done):
+            only[0][group[place]], only[1][group[place]] = (np.sort(s[place]) for s in sides)
+        stuck = ~done
+        sizes[group[stuck]] = now * GROWTH
+        while (short := stuck & (sizes[group] < least)).any():
+            sizes[group[short]] *= GROWTH
+        rest = np.setdiff1d(rest, group[done])
+        sketches = None
     return only[0], only[1]
 
 
@@ -197,9 +210,12 @@ def likeness(n_left: int, n_right: int, n_differing: int) -> float:
     return (n_left + n_right - n_differing) / (n_left + n_right + n_differing) if n_left + n_right else 1.0
 
 
-def text_of(cells: np.ndarray) -> str:
-    """A sketch as text: equal sets give equal text."""
-    return base64.b64encode(cells.tobytes()).decode()
+def texts_of(cells: Cells) -> list[str]:
+    """Sketches as text: equal sets give equal text."""
+    out = np.zeros(cells.count.shape, dtype=_CELL)
+    for field in ("count", "total", "check"):
+        out[field] = getattr(cells, field)
+    return [base64.b64encode(row.tobytes()).decode() for row in out]
 
 
 def edited_with(text: str, other: str) -> str:
@@ -257,41 +273,44 @@ def fingerprint_documents(
     """
     id_type = docs.schema[id_col].dataType.simpleString()
 
-    def compared(rows: list[tuple]) -> pa.RecordBatch:
-        """Rows of (id, text, next text)."""
-        changed = [edited_with(t, other) for _, t, other in rows]
-        sets = paragraphs([t for _, t, _ in rows] + changed + [other for *_, other in rows])
-        n = len(rows)
-        own, new, following = sets[:n], sets[n : 2 * n], sets[2 * n :]
-        s_own, s_new, s_next = (sketch(s, cells) for s in (own, new, following))
+    def compared(ids: list, texts: list[str]) -> pa.RecordBatch:
+        """Rows of neighbouring documents; the last text only follows the last id."""
+        n = len(ids)
+        changed = [edited_with(t, other) for t, other in itertools.pairwise(texts)]
+        sets = paragraphs(texts + changed)
+        own, following, new = sets[:n], sets[1 : n + 1], sets[n + 1 :]
+        s_all, s_new = sketch(sets[: n + 1], cells), sketch(new, cells)
+        s_own, s_next = s_all.rows(np.arange(n)), s_all.rows(np.arange(1, n + 1))
         near = []
         for other, s_other in ((new, s_new), (following, s_next)):
             sides = differences(own, other, cells, (s_own, s_other))
             near.append([likeness(len(a), len(b), len(x) + len(y)) for a, b, x, y in zip(own, other, *sides)])
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([i for i, *_ in rows], pa.int64()), pa.array([len(t) for _, t, _ in rows], pa.int64()),
-                pa.array([text_of(c) for c in s_own]), pa.array(changed, pa.string()),
-                pa.array([text_of(c) for c in s_new]), *[pa.array(x, pa.float64()) for x in near],
+                pa.array(ids, pa.int64()), pa.array([len(t) for t in texts[:n]], pa.int64()),
+                pa.array(texts_of(s_own)), pa.array(changed, pa.string()), pa.array(texts_of(s_new)),
+                *[pa.array(x, pa.float64()) for x in near],
             ],
             ["id", "n_chars", "fingerprint", "edited_text", "edited_fingerprint", "near_edited", "near_next"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before: tuple | None = None  # the row that waits for its next one
-        rows: list[tuple] = []
-        held = 0
+        part, closed, ids, texts, held = None, False, [], [], 0
         for batch in batches:
-            for part, guest, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if before is not None and before[0] == part:
-                    rows.append((before[1], before[2], text))
-                    held += len(before[2]) + len(text)
-                    if held > SLICE_BYTES // 2:
-                        yield compared(rows)
-                        rows, held = [], 0
-                before = None if guest else (part, doc_id, text)
-        if rows:
-            yield compared(rows)
+            for now, guest, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if now != part:
+                    part, closed = now, False
+                if closed:
+                    continue  # rows that share the guest's id: the first of them follows the range
+                if ids and (guest or held > SLICE_BYTES // 4):
+                    yield compared(ids, [*texts, text])
+                    ids, texts, held = [], [], 0
+                if guest:
+                    closed = True
+                else:
+                    ids.append(doc_id)
+                    texts.append(text)
+                    held += len(text)
 
     out = _neighbours(docs, id_col, text_col).mapInArrow(
         run,

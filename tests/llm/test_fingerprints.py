@@ -111,7 +111,7 @@ def test_a_sketch_tells_what_its_size_allows():
     a = rnd.integers(2**63, size=1000, dtype=np.uint64)
     b = np.concatenate([a[:995], rnd.integers(2**63, size=4, dtype=np.uint64)])
     x, y = fingerprints.sketch([a]), fingerprints.sketch([b])
-    only_a, only_b, done = fingerprints.peel(fingerprints.subtract(x, y))
+    only_a, only_b, done, _ = fingerprints.peel(fingerprints.subtract(x, y))
     assert done[0] and set(only_a[0].tolist()) == set(a[995:].tolist()) and set(only_b[0].tolist()) == set(b[995:].tolist())
 
 
