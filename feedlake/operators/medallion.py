@@ -8,18 +8,20 @@ from pyspark.sql.types import StructType
 
 from feedlake import schemas
 from feedlake.functions.vectors import namespace
-from feedlake.operators.bronze import KEY, build_bronze, newest_first
+from feedlake.operators.bronze import KEY, build_bronze, dedup_bronze, newest_first
 from feedlake.operators.contracts import split_by_contract
+from feedlake.operators.dedup import keep_first
 from feedlake.operators.gold import build_gold
 from feedlake.operators.metrics import count_while
-from feedlake.operators.silver import build_silver
+from feedlake.operators.silver import build_silver, clean_articles
+from feedlake.operators.upsert import append_evolve, same_keys
 from feedlake.operators.vectors import STAMP_KEY, VECTOR_KEY, stamps_path, vector_table
 from feedlake.profiles import CLUSTER, Profile
 from feedlake.session import broadcast_if_small, materialize
 from feedlake.sources.staging import read_staging
 from feedlake.sources.tables import (
-    append_table, date_slice, delete_from_table, has_files, in_partitions, read_table,
-    replace_partitions, upsert_table,
+    append_table, create_table, date_slice, delete_from_table, has_files, in_partitions, null_partitions, read_table,
+    replace_partitions, replace_rows, upsert_table,
 )
 
 
@@ -41,69 +43,175 @@ def load_records(
     """Run all three stages for new bronze rows; returns how many rows each stage put out.
 
     Rows that break a stage's contract go to its quarantine table and are counted
-    under ``quarantined``. Bronze keeps the newest record of an article and date. The
-    dates of the new rows are then built anew, and silver and gold hold nothing else for
-    them: articles that a newer copy supersedes go, and so do chunks that an article no
-    longer has, with their vectors in ``vector_path``. A chunk whose text is the same
-    keeps its stamp. Runs over parts of the input, in any order, therefore end in the
-    tables that one run over all of it gives, and a repeated run changes nothing.
-
-    ``append_only`` adds rows as they are. With ``date`` silver and gold are built for that
-    date only.
+    under ``quarantined``. Bronze keeps the newest record of an article and date. Silver and
+    gold follow the change: the contents that the new records have, and those that they had
+    before, are ranked again, and the articles and chunks of these contents are replaced, nothing
+    else. Superseded articles go, and so do chunks that an article no longer has, with their
+    vectors in ``vector_path``. A chunk whose text is the same keeps its stamp. Runs over parts
+    of the input, in any order, therefore end in the tables that one run over all of it gives,
+    and a repeated run, also of one that failed, changes nothing more.
+
+    ``append_only`` adds rows as they are. With ``date`` silver and gold are built anew for that
+    date, from all its records.
     """
-    broken = 0
+    run = _Run(spark, root)
+    source = run.checked(bronze, schemas.BRONZE, "bronze")
+    if append_only:
+        append_table(source, f"{root}/bronze", schemas.BRONZE_PARTITIONS)
+        stored = read_table(spark, f"{root}/bronze", schemas.BRONZE)
+        new = date_slice(source if profile.dedup_per_date else stored, date)
+        dates = materialize(new.select("ingestion_date").distinct(), "dates")
+        silver = run.checked(
+            build_silver(in_partitions(stored, dates, ["ingestion_date"]), profile, as_of), schemas.SILVER, "silver"
+        )
+        append_table(silver, f"{root}/silver", schemas.SILVER_PARTITIONS)
+        gold = run.checked(build_gold(silver, profile, as_of), schemas.GOLD, "gold")
+        append_table(gold, f"{root}/gold", schemas.GOLD_PARTITIONS)
+        return run.counts
+    if date:
+        _upsert_bronze(spark, root, source)
+        _rebuild_date(run, profile, as_of, vector_path, date)
+    else:
+        _follow_change(run, source, profile, as_of, vector_path)
+    return run.counts
+
+
+class _Run:
+    """Counts what the stages of a run put out, and puts aside what breaks their contracts."""
 
-    def checked(df: DataFrame, schema: StructType, name: str) -> tuple[DataFrame, int]:
-        nonlocal broken
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self.counts = spark, root, {"quarantined": 0}
+
+    def checked(self, df: DataFrame, schema: StructType, name: str) -> DataFrame:
         rows = materialize(df, name)
         good, bad = split_by_contract(rows, schema)
-        path, keys = f"{root}/quarantine/{name}", [c for c in bad.columns if bad.schema[c].dataType.typeName() != "map"]
+        keys = [c for c in bad.columns if bad.schema[c].dataType.typeName() != "map"]
         bad = materialize(bad.withColumn("violations", F.array_join("violations", ",")), "broken")
         n_bad = bad.count()
         if n_bad:
-            upsert_table(spark, path, bad, keys, ["ingestion_date"], written=True)
-        broken += n_bad
+            upsert_table(self.spark, f"{self.root}/quarantine/{name}", bad, keys, ["ingestion_date"], written=True)
+        self.counts["quarantined"] += n_bad
         seen = []
         good = _written_while(good, name, seen)
-        return good, seen[0]
+        self.counts[name] = seen[0]
+        return good
 
-    counts = {}
-    source, counts["bronze"] = checked(bronze, schemas.BRONZE, "bronze")
-    if append_only:
-        append_table(source, f"{root}/bronze", schemas.BRONZE_PARTITIONS)
-    else:
-        upsert_table(
-            spark, f"{root}/bronze", source, KEY, schemas.BRONZE_PARTITIONS, newest_first(),
-            newest=True, written=True,
-        )
-    stored = read_table(spark, f"{root}/bronze", schemas.BRONZE)
-    # Copies are found within a date, or else within the whole table.
-    new = date_slice(source if profile.dedup_per_date else stored, date)
-    dates = materialize(new.select("ingestion_date").distinct(), "dates")
-    silver, counts["silver"] = checked(
-        build_silver(in_partitions(stored, dates, ["ingestion_date"]), profile, as_of),
-        schemas.SILVER, "silver",
+
+def _upsert_bronze(spark: SparkSession, root: str, source: DataFrame) -> None:
+    upsert_table(
+        spark, f"{root}/bronze", source, KEY, schemas.BRONZE_PARTITIONS, newest_first(), newest=True, written=True
     )
-    gold, counts["gold"] = checked(build_gold(silver, profile, as_of), schemas.GOLD, "gold")
-    counts["quarantined"] = broken
-    if append_only:
-        append_table(silver, f"{root}/silver", schemas.SILVER_PARTITIONS)
-        append_table(gold, f"{root}/gold", schemas.GOLD_PARTITIONS)
-        return counts
+
+
+def _rebuild_date(run: _Run, profile: Profile, as_of: Column | None, vector_path: str | None, date: str) -> None:
+    """Silver and gold of one date from all its bronze rows."""
+    spark, root = run.spark, run.root
+    stored = date_slice(read_table(spark, f"{root}/bronze", schemas.BRONZE), date)
+    dates = materialize(stored.select("ingestion_date").distinct(), "dates")
+    silver = run.checked(build_silver(stored, profile, as_of), schemas.SILVER, "silver")
+    gold = run.checked(build_gold(silver, profile, as_of), schemas.GOLD, "gold")
     _replace_dates(spark, f"{root}/silver", silver, schemas.SILVER, schemas.SILVER_PARTITIONS, dates)
     old = None
     if has_files(spark, f"{root}/gold"):
         before = in_partitions(read_table(spark, f"{root}/gold", schemas.GOLD), dates, ["ingestion_date"])
-        old = materialize(
-            before.select("chunk_id", "ingestion_date", "region", "chunk_text", "embedded_at"), "old_gold"
-        )
-        gold = materialize(_keep_stamps(gold, old), "gold")
-        # First, so that a run that ends here embeds a chunk once more rather than never.
-        _forget_stamps(spark, f"{root}/gold", old, gold)
+        old = materialize(before.select(*_CHUNK), "old_gold")
+        gold = _follow_stamps(spark, f"{root}/gold", old, gold)
     _replace_dates(spark, f"{root}/gold", gold, schemas.GOLD, schemas.GOLD_PARTITIONS, dates)
     if old is not None and vector_path:
         _forget_vectors(spark, f"{root}/gold", vector_path, old, gold)
-    return counts
+
+
+def _follow_change(
+    run: _Run, source: DataFrame, profile: Profile, as_of: Column | None, vector_path: str | None
+) -> None:
+    """Replace the articles and chunks of the contents that new records have or had, and no others.
+
+    A narrow table tells for each content the records that have it, so that their ranks need no
+    texts. Only texts of the winners are read that the run does not bring itself. Bronze is
+    written last: until then the old contents of the records are known, so a run that fails is
+    repaired by its repetition.
+    """
+    spark, root = run.spark, run.root
+    create_table(spark, f"{root}/bronze", schemas.BRONZE, schemas.BRONZE_PARTITIONS)
+    stored = read_table(spark, f"{root}/bronze", schemas.BRONZE)
+    _known_contents(spark, root, stored, profile)
+    # What bronze has of these records, and will have.
+    keys = broadcast_if_small(source.select(*KEY))
+    source_rows = null_partitions(source, schemas.BRONZE_PARTITIONS)  # as they are read back
+    near = in_partitions(stored, source, ["ingestion_date"])
+    before = materialize(near.join(keys, same_keys(near, keys, KEY), "left_semi"), "records_before")
+    after = materialize(dedup_bronze(append_evolve(before, source_rows)), "records_after")
+    cleaned = materialize(clean_articles(after, profile, as_of), "cleaned")
+    had, have = (_contents(rows) for rows in (clean_articles(before, profile, as_of), cleaned))
+    had = materialize(had, "had")
+    # Their contents, old and new, and all records with one of them.
+    within = ["content_hash", "ingestion_date"] if profile.dedup_per_date else ["content_hash"]
+    shards = had.select(_SHARD).unionByName(have.select(_SHARD))
+    affected = materialize(had.select(*within).unionByName(have.select(*within)).distinct(), "affected")
+    known = in_partitions(read_table(spark, f"{root}/contents", schemas.CONTENTS), shards, [_SHARD])
+    few = broadcast_if_small(affected)
+    known = known.join(few, same_keys(known, few, within), "left_semi")
+    others = known.join(keys, same_keys(known, keys, KEY), "left_anti")
+    ranked = materialize(others.select(*have.columns).unionByName(have), "contents")
+    order = (
+        [F.col("ingested_at").desc(), F.col("article_id").asc()] if profile.dedup_per_date
+        else [F.col("ingested_at"), F.col("article_id")]
+    )
+    winners = materialize(keep_first(ranked, within, order), "winners")
+    # Texts of winners that this run does not bring.
+    come = winners.select(*KEY)
+    brought = cleaned.join(broadcast_if_small(come), KEY, "left_semi")
+    rest = materialize(winners.join(keys, same_keys(winners, keys, KEY), "left_anti"), "unread")
+    unread = in_partitions(stored, rest, schemas.BRONZE_PARTITIONS)
+    read = clean_articles(unread.join(broadcast_if_small(rest.select(*KEY)), KEY, "left_semi"), profile, as_of)
+    silver = run.checked(brought.unionByName(read).drop("ingested_at"), schemas.SILVER, "silver")
+    gold = run.checked(build_gold(silver, profile, as_of), schemas.GOLD, "gold")
+    # Every record of these contents leaves silver and gold, and the winners come in.
+    leave = materialize(ranked.unionByName(had).select(*KEY, "region", "language").distinct(), "leave")
+    replace_rows(spark, f"{root}/silver", schemas.SILVER, leave, silver, KEY, schemas.SILVER_PARTITIONS)
+    held = in_partitions(_table(spark, f"{root}/gold", schemas.GOLD, schemas.GOLD_PARTITIONS), leave, schemas.GOLD_PARTITIONS)
+    old = materialize(held.join(broadcast_if_small(leave.select(*KEY).distinct()), KEY, "left_semi").select(*_CHUNK), "old_gold")
+    gold = _follow_stamps(spark, f"{root}/gold", old, gold)
+    replace_rows(spark, f"{root}/gold", schemas.GOLD, leave, gold, KEY, schemas.GOLD_PARTITIONS)
+    if vector_path:
+        _forget_vectors(spark, f"{root}/gold", vector_path, old, gold)
+    replace_rows(spark, f"{root}/contents", schemas.CONTENTS, had, have, KEY, [_SHARD])
+    _upsert_bronze(spark, root, source)
+
+
+_SHARD = "shard"
+_CHUNK = ["chunk_id", "ingestion_date", "region", "chunk_text", "embedded_at"]
+
+
+def _table(spark: SparkSession, path: str, schema: StructType, partition_by: list[str]) -> DataFrame:
+    create_table(spark, path, schema, partition_by)
+    return read_table(spark, path, schema)
+
+
+def _contents(cleaned: DataFrame) -> DataFrame:
+    """Which record has which content; the table of them is cut by the content's first two digits."""
+    return cleaned.select(
+        *KEY, "region", "language", "content_hash", "ingested_at", F.substring("content_hash", 1, 2).alias(_SHARD)
+    )
+
+
+def _known_contents(spark: SparkSession, root: str, stored: DataFrame, profile: Profile) -> None:
+    """The table of contents, made from bronze where a lake has none yet."""
+    path = f"{root}/contents"
+    create_table(spark, path, schemas.CONTENTS, [_SHARD])
+    if not has_files(spark, path) and has_files(spark, f"{root}/bronze"):
+        append_table(_contents(clean_articles(stored, profile)), path, [_SHARD])
+
+
+def _follow_stamps(spark: SparkSession, gold_path: str, old: DataFrame, gold: DataFrame) -> DataFrame:
+    """New chunks with the stamps of those of the same text; other stamps go.
+
+    They go before gold is written, so that a run that ends here embeds a chunk once more
+    rather than never.
+    """
+    gold = materialize(_keep_stamps(gold, old), "gold")
+    _forget_stamps(spark, gold_path, old, gold)
+    return gold
 
 
 def _written_while(df: DataFrame, label: str, counts: list[int]) -> DataFrame:

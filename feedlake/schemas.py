@@ -82,6 +82,17 @@ SILVER = _schema(
     ingestion_date=DATE_REQUIRED,
 )
 
+# Which records have a content: what copies are found by, without texts.
+CONTENTS = _schema(
+    article_id=TEXT_REQUIRED,
+    ingestion_date=DATE_REQUIRED,
+    region=TEXT,
+    language=TEXT,
+    content_hash=TEXT_REQUIRED,
+    ingested_at=TIME,
+    shard=TEXT_REQUIRED,
+)
+
 GOLD = _schema(
     chunk_id=TEXT_REQUIRED,
     article_id=TEXT_REQUIRED,

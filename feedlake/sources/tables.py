@@ -197,6 +197,26 @@ def upsert_table(
     _rewrite(target, path, partition_by, touched, change)
 
 
+def replace_rows(
+    spark: SparkSession, path: str, schema: StructType, gone: DataFrame, rows: DataFrame, keys: list[str],
+    partition_by: list[str],
+) -> None:
+    """Take the rows with the keys of `gone` out of its partitions, and put `rows` in.
+
+    Only partitions of either are read and rewritten; `gone` carries their columns.
+    """
+    create_table(spark, path, schema, partition_by)
+    target = read_table(spark, path, schema)
+    gone = materialize(null_partitions(gone.select(*dict.fromkeys([*keys, *partition_by])), partition_by), "gone")
+    rows = null_partitions(rows.select(*schema.fieldNames()), partition_by)
+    wanted = broadcast_if_small(gone.select(*keys).distinct())
+
+    def change(affected: DataFrame) -> DataFrame:
+        return affected.join(wanted, same_keys(affected, wanted, keys), "left_anti").unionByName(rows)
+
+    _rewrite(target, path, partition_by, gone.select(*partition_by).unionByName(rows.select(*partition_by)), change)
+
+
 def stamp_table(
     spark: SparkSession, path: str, schema: StructType, done: DataFrame, partition_by: list[str]
 ) -> None:
