@@ -40,10 +40,10 @@ PIVOT_TURNS = 2
 BACKGROUND = 0.03  # similarity of unrelated documents that trees must tell apart, chance agreement of tokens included
 MAX_LEVELS = 30  # nodes still large then are compared in full
 LEVELS_AT_ONCE = 2  # that large nodes branch on by
-PAIRS_PER_MEMBER = 64  # a node is small if it holds at most that many pairs to compare for each member
+PAIRS_PER_MEMBER = 512  # a node is small if it holds at most that many pairs to compare for each member
 MARGIN = 0.064  # how far a sketch's estimate may lie under the similarity, 3.6 deviations
-SURE = 0.064  # an estimate so far above the threshold is nearly always a link
 _ID = "__feedlake_id"
+CLUSTER = 4096  # members of a cluster outside its largest component that one task compares with all
 PASSING = 4096  # members of a node that pass by its leading ones in one task
 MAX_SENT_IDS = 1_000_000  # of documents to compare; more are joined by a shuffle
 SLICE = 256  # rows compared or sketched together
@@ -255,25 +255,46 @@ def _least_same(percent: int) -> int:
     return math.ceil(max(percent / 100 - MARGIN, 0.05) * TOKENS)
 
 
-def _compared(members: DataFrame, classes: DataFrame, percent: int, best: bool = True) -> DataFrame:
-    """(a, b, same): in each node, its `leading` members against all members of other components.
+class _Joined(dict):
+    """Which labels a task has linked so far."""
 
-    `members` has node, id, n, label, leading, and the size of the node. Pairs come out if their sizes allow the similarity
-    and their sketches agree as often as the threshold asks. With `best`, a member whose estimate
-    with some member of a component is sure to be a link is not paired with others of that component.
+    def root(self, x: int) -> int:
+        while x in self:
+            x = self[x]
+        return x
 
-    A node's leading members come first and are held; all others pass by. Small nodes have few of
-    them, whatever their size: nodes hold at most so many pairs for each member.
+    def join(self, a: int, b: int) -> bool:
+        """Links two labels; false if they are linked already."""
+        a, b = self.root(a), self.root(b)
+        if a != b:
+            self[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _compared(members: DataFrame, classes: DataFrame, percent: int, kind: str, sets: DataFrame | None = None) -> DataFrame:
+    """In each node, its `leading` members against all members of other components.
+
+    `members` has node, id, n, label, leading, and the size of the node. Pairs count whose sizes
+    allow the similarity and whose sketches agree as often as the threshold asks. The kind says
+    what of them comes out:
+
+    pivots: (a, b, same), each pair;
+    near: (a, b, same), labels of pairs, as few as connect them;
+    links: (a, b, same), pairs whose `sets` are similar enough, as few as connect their labels:
+    most alike first, each pair that might connect more is confirmed.
+
+    A node's leading members come first and are held; all others pass by. They are few where nodes
+    are small, since these hold at most so many pairs between components for each member.
     """
-    least, sure = _least_same(percent), math.ceil(min(percent / 100 + SURE, 1) * TOKENS)
+    least = _least_same(percent)
 
-    def pairs(held: list[tuple], rows: list[tuple], itself: bool) -> list[tuple[int, int, int]]:
-        out = []
+    def met(held: list[tuple], rows: list[tuple], itself: bool, joined: _Joined) -> list[tuple[int, int, int]]:
+        out: list[tuple[int, int, int]] = []
         if not held or not rows:
             return out
         y = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(-1, TOKENS)
-        id_b, n_b, label_b = (np.array([r[k] for r in rows], np.int64) for k in range(3))
-        for i, (id_a, n_a, label_a, sketch) in enumerate(held):
+        n_b, label_b = (np.array([r[k] for r in rows], np.int64) for k in (1, 2))
+        for i, (id_a, n_a, label_a, sketch, *set_a) in enumerate(held):
             fits = (label_b != label_a) & (100 * np.minimum(n_b, n_a) >= percent * np.maximum(n_b, n_a))
             if itself:
                 fits[: i + 1] = False
@@ -281,46 +302,42 @@ def _compared(members: DataFrame, classes: DataFrame, percent: int, best: bool =
             if not len(at):
                 continue
             same = (y[at] == np.frombuffer(sketch, np.uint8)).sum(axis=1)
-            near = same >= least
-            out += [(id_a, b, s, c) for b, s, c in zip(id_b[at[near]].tolist(), same[near].tolist(), label_b[at[near]].tolist())]
+            at, same = at[same >= least], same[same >= least]
+            if kind == "pivots":
+                out += [(id_a, rows[j][0], s) for j, s in zip(at.tolist(), same.tolist())]
+                continue
+            for j in at[np.argsort(-same, kind="stable")].tolist():
+                label = rows[j][2]
+                if kind == "near":
+                    if joined.join(label_a, label):
+                        out.append((label_a, label, 0))
+                elif joined.root(label_a) != joined.root(label) and _similar(set_a[0], rows[j][4], percent):
+                    joined.join(label_a, label)
+                    out.append((id_a, rows[j][0], 0))
         return out
 
-    def chosen(found: list[tuple]) -> list[tuple[int, int, int]]:
-        """Of a held member's sure links into one component the surest; all pairs that are not sure."""
-        top: dict[tuple[int, int], tuple[int, int]] = {}
-        for a, b, s, c in found:
-            if s >= sure:
-                top[a, c] = max(top.get((a, c), (0, 0)), (s, -b))
-        return [(a, b, s) for a, b, s, c in found if not best or (a, c) not in top or top[a, c] == (s, -b)]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, held, rest, found, out = None, [], [], [], []
-
-        def passed() -> None:
-            nonlocal rest
-            found.extend(pairs(held, rest, False))
-            rest = []
+        node, held, rest, joined, out = None, [], [], _Joined(), []
 
         def closed() -> None:
-            nonlocal held, found
-            passed()
+            nonlocal held, rest, joined
+            out.extend(met(held, rest, False, joined))
             if node is not None and not node[1]:
-                found.extend(pairs(held, held, True))
-            out.extend(chosen(found))
-            held, found = [], []
+                out.extend(met(held, held, True, joined))
+            held, rest, joined = [], [], _Joined()
 
         for batch in batches:
             for now, place, leading, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                now = now, place
-                if now != node:
+                if (now, place) != node:
                     closed()
-                    node = now
+                    node = now, place
                 if leading:
                     held.append(row)
                 elif held:
                     rest.append(row)
                     if len(rest) >= SLICE:
-                        passed()
+                        out.extend(met(held, rest, False, joined))
+                        rest = []
             if out:
                 yield _pair_batch(out)
                 out.clear()
@@ -332,22 +349,28 @@ def _compared(members: DataFrame, classes: DataFrame, percent: int, best: bool =
     parts = F.ceil(F.col("size") / PASSING)
     places = F.when(F.col("leading"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), parts)))
     dealt = members.withColumn("place", F.explode(places.cast("array<long>")))
-    told = dealt.join(classes.select("id", "sketch"), "id").select("node", "place", "leading", "id", "n", "label", "sketch")
-    dealt = told.repartition("node", "place").sortWithinPartitions("node", "place", F.desc("leading"), "id")
-    return (
-        dealt.mapInArrow(run, "a long, b long, same long")
-        .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("same").alias("same"))
-    )
+    columns = ["node", "place", "leading", "id", "n", "label", "sketch"]
+    told = dealt.join(classes.select("id", "sketch"), "id")
+    if sets is not None:
+        told, columns = told.join(sets, "id"), [*columns, "set"]
+    told = told.select(*columns).repartition("node", "place")
+    told = told.sortWithinPartitions("node", "place", F.desc("leading"), "id")
+    return told.mapInArrow(run, "a long, b long, same long")
 
 
 def _pair_batch(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], ["a", "b", "same"])
 
 
-def _confirmed(
-    pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int
-) -> DataFrame:
-    """(u, v): the pairs whose full sets are similar enough. A set is made once for all its pairs."""
+def _similar(x: bytes, y: bytes, percent: int) -> bool:
+    """Whether two sets, as sorted hashes, are similar enough."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return bool(shared) and 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
+def _sets(asked: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """(id, set) of the documents asked for; rows that repeat an id and its text are one."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -355,23 +378,21 @@ def _confirmed(
                 sets = shingle_sets(part.column(1).to_pylist(), words)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in sets], pa.binary())], ["id", "set"])
 
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).join(
+        broadcast_if_small(asked.select("id").distinct(), MAX_SENT_IDS), "id", "left_semi"
+    )
+    return materialize(texts.mapInArrow(made, "id long, set binary").distinct(), "near_sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(u, v): the pairs whose sets are similar enough."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            us, vs = [], []
-            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                if shared and 100 * shared >= percent * (len(x) + len(y) - shared):
-                    us.append(a)
-                    vs.append(b)
+            links = [(a, b) for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns)) if _similar(x, y, percent)]
+            us, vs = zip(*links) if links else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
-    asked = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).join(
-        broadcast_if_small(asked, MAX_SENT_IDS), "id", "left_semi"
-    )
-    # Rows that repeat an id and its text are one.
-    sets = materialize(texts.mapInArrow(made, "id long, set binary").distinct(), "near_sets")
     return (
         broadcast_if_small(pairs.select("a", "b"), MAX_SENT_IDS)
         .join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
@@ -421,7 +442,7 @@ def _to_pivots(members: DataFrame, classes: DataFrame, percent: int, turn: int)
     leading = (F.col("id") == F.col("pivot")).alias("leading")
     pairs = _compared(
         members.join(pivots, "node").select("node", "id", "n", "label", leading, "size"),
-        classes, percent, best=False,
+        classes, percent, "pivots",
     )
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "same"))
     best = both.groupBy("a").agg(F.max_by("b", F.struct("same", "b")).alias("b"))
@@ -454,7 +475,9 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, word
     labels = None
     for turn in range(PIVOT_TURNS):
         members = first.withColumn("label", F.col("id")) if labels is None else _labelled(first, labels)
-        links = _confirmed(materialize(_to_pivots(members, classes, percent, turn), "near_pairs"), *args)
+        pairs = materialize(_to_pivots(members, classes, percent, turn), "near_pairs")
+        both = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+        links = _confirmed(pairs, _sets(both, *args[:-1]), percent)
         labels = components(links) if labels is None else merged(labels, links)
 
     trees = max(trees_for(levels, percent), PIVOT_TREES)
@@ -471,19 +494,39 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, word
 
 
 def _linked(members: DataFrame, classes: DataFrame, labels: DataFrame, args: tuple) -> DataFrame:
-    """Labels after the nodes' members are compared across components."""
-    percent = args[-1]
-    for best in (True, False):
-        pairs, n = written(_compared(members, classes, percent, best), "near_pairs", pairs=F.count(F.lit(1)))
-        if not n["pairs"]:
-            break
-        links = materialize(_confirmed(pairs, *args), "near_links")
-        labels = merged(labels, links)
-        sure = pairs.filter(F.col("same") >= math.ceil(min(percent / 100 + SURE, 1) * TOKENS))
-        # A sure pair that is none may have stood in for others.
-        if not best or not sure.join(links, (F.col("a") == F.col("u")) & (F.col("b") == F.col("v")), "left_anti").limit(1).count():
-            break
-    return labels
+    """Labels after the nodes' members are compared across components.
+
+    Components that are near each other in some node make a cluster. All members of a cluster
+    outside its largest component are compared with all others, once, on full sets. Where these are
+    too many, they are compared in the nodes instead.
+    """
+    *given, percent = args
+    near, n = written(_compared(members, classes, percent, "near").select("a", "b").distinct(), "near_labels", pairs=F.count(F.lit(1)))
+    if not n["pairs"]:
+        return labels
+    least = components(near.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    clusters = least.select(F.col("u").alias("label"), F.col("v").alias("cluster")).unionByName(
+        least.select(F.col("v").alias("label"), F.col("v").alias("cluster")).distinct()
+    )
+    known = classes.select("id", "n", F.lit(0).alias("node"))
+    inside = materialize(
+        _labelled(known, labels).drop("node").join(broadcast_if_small(clusters, MAX_SENT_IDS), "label"), "near_clusters"
+    )
+    per_label = inside.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("c"))
+    shape = per_label.groupBy("cluster").agg(
+        F.sum("c").alias("size"), F.max_by("label", F.struct("c", "label")).alias("mode"), (F.sum("c") - F.max("c")).alias("outside")
+    )
+    whole = shape.filter(F.col("outside") <= CLUSTER)
+    told = inside.join(whole, "cluster").select(
+        F.col("cluster").alias("node"), "id", "n", "label", (F.col("label") != F.col("mode")).alias("leading"), "size"
+    )
+    sets = _sets(inside, *given)
+    links = _compared(told, classes, percent, "links", sets)
+    if shape.count() > whole.count():
+        larger = inside.join(shape.filter(F.col("outside") > CLUSTER).select("cluster"), "cluster", "left_semi").select("id")
+        apart = members.join(broadcast_if_small(larger, MAX_SENT_IDS), "id", "left_semi")
+        links = links.unionByName(_compared(apart, classes, percent, "links", sets))
+    return merged(labels, materialize(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "near_links"))
 
 
 def _searched(

@@ -161,3 +161,20 @@ def test_a_third_of_all_rows_are_one_text(spark):
 
 def test_schema_of_cases():
     assert len(DOCS[0]) == DOC_SCHEMA.count(",") + 1
+
+
+@pytest.mark.parametrize("cluster", [4096, 3])
+def test_templates_just_under_and_over_the_threshold(spark, monkeypatch, cluster):
+    """Families around one template, most pairs of which lie just under the threshold; in clusters, and in nodes."""
+    monkeypatch.setattr(neardup, "CLUSTER", cluster)
+    monkeypatch.setattr(neardup, "PASSING", 16)
+    rows = []
+    for f in range(3):
+        base = prose(7000 + f, 150)
+        rows += [(7000 + 200 * f + i, edited(base, 4 + i % 9, 7000 + 200 * f + i)) for i in range(110)]
+    rows += [(i, prose(i, 150)) for i in range(9000, 9080)]
+    random.Random(6).shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute(rows, 2)
+    assert len({r[2] for r in want if r[0] < 9000}) > 20
+    assert sorted(map(tuple, neardup.near_duplicates(df, words=2).collect()), key=str) == want
