@@ -238,20 +238,20 @@ def _neighbours(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     negative = -np.array(firsts, dtype=np.int64)
     ranges = len(firsts) + no_id
 
-    @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
-        out = np.searchsorted(negative, -ids.fillna(0).to_numpy(np.int64), "right") - 1
-        return pd.Series(np.where(ids.isna(), len(negative), out).astype(np.int32))
+    @F.pandas_udf("range int, leads boolean")
+    def place_of(ids: pd.Series) -> pd.DataFrame:
+        numbers = -ids.fillna(0).to_numpy(np.int64)
+        at = np.searchsorted(negative, numbers, "right") - 1
+        leads = negative[np.maximum(at, 0)] == numbers if len(negative) else np.zeros(len(ids), bool)
+        none = ids.isna().to_numpy()
+        return pd.DataFrame({"range": np.where(none, len(negative), at).astype(np.int32), "leads": leads | none})
 
     rows = docs.select(
-        key.cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), range_of(key.cast("long")).alias("range")
+        key.cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), place_of(key.cast("long")).alias("at")
     )
-    first = F.lit([None if i == len(firsts) else firsts[i] for i in range(max(ranges, 1))]).cast("array<long>")
-    leads = F.col("id").eqNullSafe(first[F.col("range")])
-    places = F.when(leads, F.array(
-        F.struct("range", F.lit(False).alias("guest")),
-        F.struct(F.pmod(F.col("range") - 1, F.lit(max(ranges, 1))).cast("int").alias("range"), F.lit(True).alias("guest")),
-    )).otherwise(F.array(F.struct("range", F.lit(False).alias("guest"))))
+    own = F.struct(F.col("at.range").alias("range"), F.lit(False).alias("guest"))
+    before = F.struct(F.pmod(F.col("at.range") - 1, F.lit(max(ranges, 1))).cast("int").alias("range"), F.lit(True).alias("guest"))
+    places = F.when(F.col("at.leads"), F.array(own, before)).otherwise(F.array(own))
     dealt = rows.select("id", "text", F.explode(places).alias("p")).select("p.range", "p.guest", "id", "text")
     return dealt.repartition("range").sortWithinPartitions("range", "guest", F.desc_nulls_last("id"), "text")
 
