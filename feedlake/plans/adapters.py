@@ -247,6 +247,17 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vector_queries(vectors_df: DataFrame) -> DataFrame:
+    """Every twentieth vector as a query, in its label's region, half of the labels with a language."""
+    label = F.col("label")
+    return vectors_df.filter(F.col("id").cast("long") % 20 == 0).select(
+        F.col("id").alias("query_id"),
+        F.when(label % 3 == 1, F.lit(" EMEA ")).when(label % 3 == 2, F.lit("Americas")).alias("region"),
+        F.when(label % 2 == 0, F.lit("en")).alias("language"),
+        F.col("values").cast("array<double>").alias("embedding"),
+    )
+
+
 def label_queries(vectors_df: DataFrame) -> DataFrame:
     """A query per label: the mean of its vectors, in the label's region, half with a language."""
     label = F.col("label")

@@ -15,7 +15,7 @@ from feedlake.session import shared_dir
 from feedlake.sources.staging import write_staging
 from feedlake.sources.tables import date_slice, read_table
 from feedlake.streaming.incremental import (
-    append_new, first_seen, staged_stream, stream_medallion, upsert_new,
+    append_new, first_seen, staged_stream, stream_medallion, upsert_latest, upsert_new,
 )
 
 DATES = ("2025-01-01", "2025-01-02", "2025-01-03")
@@ -33,7 +33,7 @@ def stream_bronze(spark: SparkSession, d: str) -> DataFrame:
     for date in DATES:
         write_staging(date_slice(staged, date), f"{root}/staging", date, "run")
         append_new(spark, f"{root}/staging", f"{root}/bronze", f"{root}/checkpoint")
-    return spark.read.schema(schemas.BRONZE).parquet(f"{root}/bronze").drop("raw_payload")
+    return spark.read.schema(schemas.BRONZE).parquet(f"{root}/bronze")
 
 
 def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
@@ -43,7 +43,18 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     for run, rows in (("late", a.late_copies(base)), ("base", base)):
         _stage(a.staged(rows), root, run)
         upsert_new(spark, f"{root}/staging", f"{root}/bronze", f"{root}/checkpoint")
-    return read_table(spark, f"{root}/bronze", schemas.BRONZE).drop("raw_payload")
+    return read_table(spark, f"{root}/bronze", schemas.BRONZE)
+
+
+def stream_latest(spark: SparkSession, d: str) -> DataFrame:
+    """The late copies, then the older originals, then the copies again: the newest of each from the stream's state."""
+    root = shared_dir(spark, "stream")
+    base = a.articles(spark, d)
+    copies = a.late_copies(base)
+    for run, rows in (("late", copies), ("base", base), ("again", copies)):
+        _stage(a.staged(rows), root, run)
+        upsert_latest(spark, f"{root}/staging", f"{root}/bronze", f"{root}/checkpoint", delay="5 days")
+    return read_table(spark, f"{root}/bronze", schemas.BRONZE)
 
 
 def stream_first_seen(spark: SparkSession, d: str) -> DataFrame:
@@ -98,6 +109,9 @@ QUERIES = {
     "stream_bronze": query(
         stream_bronze, with_ctes("articles", select=f"SELECT {BRONZE_COLUMNS} FROM articles")
     ),
+    "stream_latest": query(
+        stream_latest, with_ctes("bronze_dup", select=f"SELECT {BRONZE_COLUMNS} FROM bronze_dup")
+    ),
     "stream_upsert": query(
         stream_upsert, with_ctes("bronze_dup", select=f"SELECT {BRONZE_COLUMNS} FROM bronze_dup")
     ),

@@ -90,7 +90,7 @@ def newest_batch(spark: SparkSession, d: str) -> DataFrame:
 
 
 def one_date(spark: SparkSession, d: str) -> DataFrame:
-    return date_slice(a.articles(spark, d), "2025-01-02").drop("raw_payload", "doc_id")
+    return date_slice(a.articles(spark, d), "2025-01-02").drop("doc_id")
 
 
 def bronze_load(spark: SparkSession, d: str) -> DataFrame:
@@ -106,7 +106,7 @@ def bronze_load(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bronze_dedup(spark: SparkSession, d: str) -> DataFrame:
-    return dedup_bronze(load_bronze(a.staged(a.articles_dup(spark, d)))).drop("raw_payload")
+    return dedup_bronze(load_bronze(a.staged(a.articles_dup(spark, d))))
 
 
 _TIME = "TIMESTAMP '2025-01-01' + to_hours(page_id)"

@@ -73,7 +73,7 @@ def chunks(size: int, overlap: int, source: str, keep: str) -> str:
 
 BRONZE_COLUMNS = (
     "article_id, feed_id, region, source_type, source_url, title, summary, body, published_at, "
-    "language_hint, ingested_at, ingestion_date"
+    "language_hint, raw_payload, ingested_at, ingestion_date"
 )
 _CHUNK_KEEP = (
     "article_id, feed_id, region, language, published_at, source_url, ingestion_date, ordinal"
@@ -106,6 +106,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
            CASE WHEN doc_id % 7 <> 0 THEN TIMESTAMP '2025-01-01' + to_hours(doc_id % 24) END
              AS published_at,
            CASE WHEN doc_id % 11 <> 0 THEN upper(lang) END AS language_hint,
+           '{{"doc_id":' || doc_id || '}}' AS raw_payload,
            TIMESTAMP '2025-01-01 06:00:00' AS ingested_at,
            DATE '2025-01-01' + (doc_id % 3)::INTEGER AS ingestion_date
     FROM documents""",
@@ -215,6 +216,15 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
       GROUP BY label)""",
         ("vectors",),
     ),
+    "vector_queries": (
+        f"""
+    SELECT id AS query_id, region, {namespace("region")} AS namespace,
+           CASE WHEN label % 2 = 0 THEN 'en' END AS language, vals AS embedding
+    FROM (
+      SELECT *, CASE label % 3 WHEN 1 THEN ' EMEA ' WHEN 2 THEN 'Americas' END AS region
+      FROM vectors WHERE id::BIGINT % 20 = 0)""",
+        ("vectors",),
+    ),
     "requests": (
         """
     SELECT conv_id || '_' || turn AS query_id, text AS query,

@@ -39,7 +39,7 @@ def evolved_frames(spark: SparkSession, d: str) -> DataFrame:
 
 def upserted_articles(spark: SparkSession, d: str) -> DataFrame:
     """The late copies replace their originals; each comes twice, the longer title wins."""
-    base = a.articles(spark, d).drop("doc_id", "raw_payload")
+    base = a.articles(spark, d).drop("doc_id")
     late = a.late_copies(base)
     source = late.unionByName(late.withColumn("title", F.concat("title", F.lit("!"))))
     return upsert(base, source, ["article_id"], [F.length("title").desc()])

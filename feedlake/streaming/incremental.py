@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedlake import schemas
 from feedlake.operators.bronze import KEY, dedup_bronze, load_bronze, newest_first
@@ -64,6 +65,46 @@ def upsert_new(
     query.awaitTermination()
 
 
+def newest(bronze: DataFrame, delay: str = "2 days") -> DataFrame:
+    """Stream dedup with bounded state: the newest record of a key so far, each time it changes.
+
+    A key's records are those of one ingestion date. The state holds keys whose date is less
+    than ``delay`` behind the newest one; a record that comes later than that is dropped. Ties
+    are decided as in the batch, so the order of arrival does not matter.
+    """
+    columns = schemas.BRONZE.fieldNames()
+    order = [F.col("ingested_at").isNull(), -F.unix_micros("ingested_at")]
+    for c in columns:
+        if c not in (*KEY, "ingested_at"):
+            order += [F.col(c).isNull(), F.col(c)]
+    first = F.min_by(F.struct(*columns), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]))
+    dated = bronze.withColumn("_day", F.col("ingestion_date").cast("timestamp")).withWatermark("_day", delay)
+    return dated.groupBy(*KEY, "_day").agg(first.alias("r")).select("r.*")
+
+
+def upsert_latest(
+    spark: SparkSession, staging_root: str, bronze_path: str, checkpoint: str,
+    run_date: str | None = None, files_per_batch: int | None = None, delay: str = "2 days",
+) -> None:
+    """Like ``upsert_new``, out of the stream's own state: only records that are the newest of
+    their key so far reach the table. Run again after a failure, a micro-batch changes nothing."""
+
+    def merge(batch: DataFrame, _: int) -> None:
+        upsert_table(
+            batch.sparkSession, bronze_path, batch, KEY, schemas.BRONZE_PARTITIONS,
+            newest_first(), newest=True,
+        )
+
+    query = (
+        newest(load_bronze(staged_stream(spark, staging_root, files_per_batch), run_date), delay)
+        .writeStream.outputMode("update").foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def stream_medallion(
     spark: SparkSession, staging_root: str, root: str, checkpoint: str,
     run_date: str | None = None, profile: Profile = CLUSTER, as_of: Column | None = None,

@@ -20,7 +20,7 @@ from feedlake.session import broadcast_if_small, shared_dir
 from feedlake.sources.staging import read_staging, write_staging
 from feedlake.sources.tables import read_table
 from feedlake.streaming.incremental import (
-    append_new, first_seen, staged_stream, stream_medallion, upsert_new,
+    append_new, first_seen, newest, staged_stream, stream_medallion, upsert_latest, upsert_new,
 )
 
 
@@ -242,3 +242,47 @@ def test_job_needs_a_shared_folder_off_one_machine(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Session(), "x")
+
+
+def test_newest_of_a_key_with_bounded_state(spark):
+    """Late records within the delay count, whichever order they come in; state of old dates goes."""
+    root = shared_dir(spark, "newest")
+    texts = {}
+
+    def stage(run, day, rows):
+        staged = [_article(i, text, hour, ingestion_date=dt.date(2025, 1, day)) for i, text, hour in rows]
+        for i, text, hour in rows:
+            if hour >= texts.get((i, day), ("", -1))[1]:
+                texts[i, day] = text, hour
+        write_staging(spark.createDataFrame(staged, schemas.STAGING), f"{root}/staging", f"2025-01-{day:02d}", run)
+
+    def catch_up():
+        rows = newest(load_bronze(staged_stream(spark, f"{root}/staging")), "3 days")
+        query = rows.writeStream.outputMode("update").format("noop").option(
+            "checkpointLocation", f"{root}/state"
+        ).trigger(availableNow=True).start()
+        query.awaitTermination()
+        upsert_latest(spark, f"{root}/staging", f"{root}/t", f"{root}/c", delay="3 days")
+        progress = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        return progress[-1]
+
+    def table():
+        rows = read_table(spark, f"{root}/t", schemas.BRONZE).collect()
+        return {(r["article_id"], r["ingestion_date"].day): r["body"] for r in rows}
+
+    stage("a", 1, [("x", "old", 1), ("y", "first", 5)])
+    assert catch_up() == 2
+    stage("b", 3, [("x", "another day", 1)])
+    assert catch_up() == 3
+    stage("c", 1, [("x", "newer, late", 2), ("y", "older, late", 4)])
+    assert catch_up() == 3
+    assert table() == {k: text for k, (text, _) in texts.items()}
+    assert table()["x", 1] == "newer, late" and table()["y", 1] == "first"
+    for day in (9, 10):
+        stage("d", day, [("z", f"day {day}", 1)])
+        held = catch_up()
+    assert held == 2
+    before = table()
+    stage("e", 1, [("x", "too late", 9)])
+    catch_up()
+    assert table() == before
