@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake import schemas
-from feedlake.operators.contracts import split_by_contract
+from feedlake.operators.contracts import split_by_contract, split_references
 from feedlake.operators.upsert import append_evolve, mark_embedded, upsert
 from feedlake.operators.vectors import STAMP_KEY, upsert_vectors, vector_table
 from feedlake.plans import adapters as a
 from feedlake.plans.registry import query
 from feedlake.plans.sql import BRONZE_COLUMNS, with_ctes
 from feedlake.session import materialize, shared_dir
+from feedlake.sources.feeds import usable_feeds
 from feedlake.sources.tables import append_table, read_table, upsert_table
 from feedlake.sources.versions import VersionedTable, name_at
 
@@ -150,6 +151,22 @@ def violations(spark: SparkSession, d: str) -> DataFrame:
     return broken.select("doc_id", F.array_join("violations", ",").alias("violations"))
 
 
+def broken_sets(spark: SparkSession, d: str) -> DataFrame:
+    """Feeds of one region are registered twice; their articles have no usable feed, and their chunks no article."""
+    feeds = a.feeds(spark, d)
+    usable, repeated = usable_feeds(feeds.unionByName(feeds.filter("region = 'emea'")))
+    known, orphans = split_references(a.articles(spark, d), ["feed_id"], usable)
+    _, lost = split_references(a.gold(spark, d), ["article_id"], known)
+
+    def shown(rows: DataFrame, kind: str, key: str) -> DataFrame:
+        return rows.groupBy(F.lit(kind).alias("kind"), F.col(key).alias("id"), F.array_join("violations", ",").alias("violations")).agg(
+            F.count(F.lit(1)).alias("n_rows")
+        )
+
+    parts = (shown(repeated, "feed", "feed_id"), shown(orphans, "article", "article_id"), shown(lost, "chunk", "chunk_id"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 _BASE = "SELECT * EXCLUDE (doc_id) FROM articles"
 
 QUERIES = {
@@ -222,6 +239,16 @@ QUERIES = {
     GROUP BY ALL""",
         ),
     ),
+    "contract_sets": query(
+        broken_sets,
+        with_ctes(
+            "gold",
+            select="SELECT 'feed' AS kind, feed_id AS id, 'repeated: feed_id' AS violations, 2 AS n_rows "
+            "FROM articles WHERE region = 'emea' GROUP BY feed_id UNION ALL "
+            "SELECT 'article', article_id, 'unknown: feed_id', count(*) FROM articles WHERE region = 'emea' GROUP BY article_id "
+            "UNION ALL SELECT 'chunk', chunk_id, 'unknown: article_id', count(*) FROM gold WHERE region = 'emea' GROUP BY chunk_id",
+        ),
+    ),
     "contract_violations": query(
         violations,
         "SELECT doc_id, concat_ws(',', CASE WHEN doc_id % 4 = 0 THEN 'article_id' END, "

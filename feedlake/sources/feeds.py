@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from feedlake import schemas
 from feedlake.functions.feeds import article_id, entry_link, iso_text, published_at
 from feedlake.functions.vectors import json_object
+from feedlake.operators.contracts import split_by_contract, split_unique
 from feedlake.session import broadcast_if_small
 
 
@@ -15,6 +16,16 @@ def read_feeds(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     return spark.read.schema(schemas.FEEDS).format(fmt).load(path)
 
 
+def usable_feeds(feeds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Feeds with all that is required and an id of their own, and the others with column ``violations``.
+
+    A registry with two feeds of one id would give every entry of it twice.
+    """
+    whole, lacking = split_by_contract(feeds, schemas.FEEDS)
+    good, repeated = split_unique(whole, ["feed_id"])
+    return good, lacking.unionByName(repeated)
+
+
 def attach_feeds(entries: DataFrame, feeds: DataFrame) -> DataFrame:
     """Give each entry its feed's region, source type and language hint.
 

@@ -198,3 +198,21 @@ def test_delete_from_table(spark):
     for _ in range(2):
         delete_from_table(spark, path, gone, ["k"], PARTS)
         assert content(read_table(spark, path, frame(spark, []).schema)) == [("a", 1, "x", "2025-01-01")]
+
+
+def test_unique_and_references(spark):
+    rows = [("a", 1), ("a", 1), ("b", 1), (None, 1), (None, 2), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    good, bad = contracts.split_unique(df, ["k"])
+    assert sorted(map(str, (r["k"] for r in good.collect()))) == ["b", "c"]
+    assert [r["violations"] for r in bad.collect()] == [["repeated: k"]] * 4
+    good, bad = contracts.split_unique(df, ["k", "v"])
+    assert good.count() == 4 and bad.count() == 2
+    target = spark.createDataFrame([("a", 1), ("a", 2), ("z", 3)], "name string, w int")
+    good, bad = contracts.split_references(df, ["k"], target, ["name"])
+    assert sorted(str(r["k"]) for r in good.collect()) == ["None", "None", "a", "a"]
+    assert sorted((r["k"], r["violations"]) for r in bad.collect()) == [("b", ["unknown: k"]), ("c", ["unknown: k"])]
+    good, bad = contracts.split_references(df, ["k", "v"], target, ["name", "w"])
+    assert good.count() == 5 and [r["k"] for r in bad.collect()] == ["b"]
+    for split in (contracts.split_unique(df.limit(0), ["k"]), contracts.split_references(df.limit(0), ["k"], target, ["name"])):
+        assert [part.count() for part in split] == [0, 0]
