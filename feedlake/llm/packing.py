@@ -9,6 +9,7 @@ neighbours share much of their vocabulary, and laid end to end along the curve;
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,8 @@ TIE_BITS = 24  # of a digest of the id, below the Hilbert key: equal documents s
 BUCKET_TOKENS = 1 << 22  # tokens that a task lays out
 MAX_BUCKETS = 20_000  # more than that many make buckets larger, not more
 RANGES = 16  # of the curve in a bucket; ranges hold equally many documents, buckets tokens
-CACHED_WORDS = 250_000
+CACHED_WORDS = 150_000  # twice
+SHORT = 12
 
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:-@\\[-`{-~]*)")
 
@@ -51,29 +53,39 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.tokenizer.encode_special_tokens = True
-        self.model, self.kind, self.letters = self.tokenizer.model, kind, _byte_letters()
-        self.parts: dict[str, list[int]] = {"": []}
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.kind = {2: "H", 4: "I"}[np.dtype(kind).itemsize]
+        self.parts: dict[str, bytes] = {"": b""}
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        plain = _PLAIN.fullmatch(word)
-        ids = (
-            self._part(plain[1].lower()) + self._part(plain[2]) if plain
-            else self.tokenizer.encode(word, add_special_tokens=False).ids
-        )
-        self[word] = out = np.array(ids, dtype=self.kind).tobytes()
+        # Words met since the cache was last full are kept beside the new ones.
+        out = self.before.get(word)
+        if out is None:
+            plain = _PLAIN.fullmatch(word)
+            if plain:
+                letters, marks = plain.groups()
+                out = self._part(letters.lower()) + self._part(marks) if marks else self._part(letters.lower())
+            else:
+                out = array(self.kind, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        self[word] = out
         return out
 
-    def _part(self, part: str) -> list[int]:
-        if part not in self.parts:
-            shown = part.encode("utf-8").decode("latin-1").translate(self.letters)
-            self.parts[part] = [t.id for t in self.model.tokenize(shown)]
-        return self.parts[part]
+    def _part(self, part: str) -> bytes:
+        out = self.parts.get(part)
+        if out is None:
+            shown = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.letters)
+            out = array(self.kind, [t.id for t in self.model.tokenize(shown)]).tobytes()
+            if len(part) <= SHORT:  # longer ones are seldom met behind other marks
+                self.parts[part] = out
+        return out
 
     def trim(self) -> None:
         if len(self) > CACHED_WORDS:
+            self.before = dict(self)
             self.clear()
         if len(self.parts) > CACHED_WORDS:
-            self.parts = {"": []}
+            self.parts = {"": b""}
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
