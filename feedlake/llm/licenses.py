@@ -4,7 +4,8 @@ All rolling word pairs of a document are hashed and joined with the places of th
 same pairs in license templates. A hit votes for the diagonal, the difference of
 its two places. A phrase that stands word by word fills one diagonal; a changed
 or missing word moves the rest to a neighbouring one, so neighbours are merged.
-A merged span counts if it holds enough of the template within about its length.
+Spans of about the template's length are verified wherever a vote begins one, so votes
+around a template never hide it: one counts if it holds enough of the template.
 """
 
 from __future__ import annotations
@@ -15,12 +16,12 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import let, words_of
+from feedlake.llm.common import let, lower_ascii, words_of
 from feedlake.session import broadcast_if_small
 
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 MIN_COVERAGE = 0.6  # of a template's word pairs
-DRIFT = 3  # words that may be missing or extra between two votes of a span
+DRIFT = 3  # words that may be missing or extra in a span
 START = 0  # stands before the first pair of every document; no pair hashes to it
 
 
@@ -85,8 +86,9 @@ def scan_licenses(
     other; `first_word` and `last_word` are the smallest and largest start among
     them, null if there is none. `labels` also holds those of templates found in
     part; both lists are sorted and comma-joined, empty if nothing was found. The
-    score is the largest share of a template that was found, 0 if none. A null
-    text has no words. Repeated rows give a row each.
+    score is the largest share of a template that was found, 0 if none. A-Z count as small
+    letters, no others do. A null or empty text has no words; texts of any length are scanned
+    whole, repeated rows give a row each, other columns are ignored, and an empty table gives no rows.
     """
     rows = docs.select(
         F.monotonically_increasing_id().alias("_row"),
@@ -94,7 +96,7 @@ def scan_licenses(
         F.explode(
             F.array(
                 let(
-                    words_of(F.lower(F.col(f"`{text_col}`")), SEPARATORS),
+                    words_of(lower_ascii(F.col(f"`{text_col}`")), SEPARATORS),
                     lambda w: F.struct(
                         F.size(w).cast("long").alias("n"),
                         F.concat(F.array(F.lit(START).cast("long")), _pairs(w)).alias("h"),
@@ -122,23 +124,19 @@ def scan_licenses(
     )
     # All steps below need a document's votes together: one shuffle serves them.
     votes = votes.repartition("_row")
-    by_place = Window.partitionBy("_row", "template").orderBy("diagonal", "pos")
-    drifted = F.col("diagonal") - F.lag("diagonal").over(by_place) > F.when(F.col("exact"), 0).otherwise(DRIFT)
-    spans = (
-        votes.withColumn("_new", F.coalesce(drifted, F.lit(True)).cast("int"))
-        .withColumn("span", F.sum("_new").over(by_place))
-        .groupBy("_row", "_id", "_n", "template", "label", "exact", "n_pairs", "span")
-        .agg(
-            F.count_distinct("place").alias("found"),
-            F.min("pos").alias("first"),
-            (F.max("pos") - F.min("pos") + 1).alias("width"),
-        )
+    # A span begins at any vote and is as long as its template, with some room for drift: of the
+    # votes in it those on the same or a neighbouring diagonal count, each place once.
+    longest = max(len(t.phrase.split(" ")) for t in templates) + DRIFT
+    ahead = Window.partitionBy("_row", "template").orderBy("pos").rangeBetween(0, longest)
+    room = F.when(F.col("exact"), 0).otherwise(DRIFT)
+    near = F.filter(
+        F.collect_list(F.struct("pos", "place", "diagonal")).over(ahead),
+        lambda v: (v["pos"] < F.col("pos") + F.col("n_pairs") + room) & (F.abs(v["diagonal"] - F.col("diagonal")) <= room),
     )
+    spans = votes.withColumn("found", F.size(F.array_distinct(F.transform(near, lambda v: v["place"])))).withColumnRenamed("pos", "first")
     share = F.col("found") / F.col("n_pairs")
-    whole = F.col("exact") & (F.col("found") == F.col("n_pairs"))
-    verified = (F.col("template") >= 0) & F.when(F.col("exact"), whole).otherwise(
-        (share >= min_coverage) & (F.col("width") <= F.col("n_pairs") + DRIFT)
-    )
+    whole = F.col("exact") & (F.col("place") == 0) & (F.col("found") == F.col("n_pairs"))
+    verified = (F.col("template") >= 0) & F.when(F.col("exact"), whole).otherwise(share >= min_coverage)
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     return spans.groupBy("_row", "_id", "_n").agg(
         F.count(F.when(verified & whole, 1)).alias("n_base"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -58,6 +59,51 @@ def test_templates_in_part(spark):
                for r in df.collect())
 
 
+def parts(text, template):
+    """The largest share of a template's word pairs in any span of its length with room for drift, the long way."""
+    w, t = words(text), template.phrase.split(" ")
+    pairs = list(zip(t, t[1:]))
+    votes = [(i, k) for i, pair in enumerate(zip(w, w[1:])) for k, other in enumerate(pairs) if pair == other]
+    best = 0
+    for i, k in votes:
+        near = {
+            q for p, q in votes
+            if i <= p < i + len(pairs) + licenses.DRIFT and abs((p - q) - (i - k)) <= licenses.DRIFT
+        }
+        best = max(best, len(near) / len(pairs))
+    return best if best >= licenses.MIN_COVERAGE else 0
+
+
+def test_every_template_is_found_among_stutters(spark):
+    rnd = random.Random(7)
+    texts = [
+        "under the under the under the licensed under the apache license version 2 0",
+        "of the gnu of the gnu of the gnu you can redistribute it and or modify it under the terms of the gnu of the gnu of the gnu",
+        "\u212a cc by", "by the cc by the cc BY",
+    ]
+    for t in licenses.TEMPLATES:
+        own = t.phrase.split(" ")
+        for _ in range(12):
+            body = own[:]
+            for _ in range(rnd.randint(0, 3)):
+                body.insert(rnd.randrange(len(body)), rnd.choice([*own, "other"]))
+            if rnd.random() < 0.4 and len(body) > 3:
+                del body[rnd.randrange(len(body))]
+            starts = [rnd.randrange(len(own)) for _ in range(rnd.randint(0, 6))]
+            stutter = [x for k in starts for x in own[k:k + 2]]
+            texts.append(" ".join([*stutter, *body, *reversed(stutter)]))
+    rows, df = scanned(spark, texts)
+    got = {r["doc_id"]: (r["labels"], round(r["score"], 9)) for r in df.collect()}
+    assert got[100][0] == "apache" and got[101][0] == "gpl"
+    for doc_id, text, *_ in rows:
+        if doc_id is None or doc_id < 100:
+            continue
+        shares = {t: parts(text, t) for t in licenses.TEMPLATES if not t.exact}
+        labels = {t.label for t, share in shares.items() if share} | set(filter(None, base(text)[4].split(",")))
+        score = 1.0 if base(text)[1] else max(shares.values())
+        assert got[doc_id] == (",".join(sorted(labels)), round(score, 9)), text
+
+
 def test_empty_table_and_short_templates(spark, none):
     assert licenses.scan_licenses(none).count() == 0
     with pytest.raises(ValueError, match="two words"):
