@@ -212,8 +212,7 @@ QUERIES = {
             select="SELECT * EXCLUDE (doc_id) REPLACE ("
             f"CASE WHEN doc_id % 2 = 0 THEN ingestion_date ELSE DATE '{a.RUN_DATE}' END "
             "AS ingestion_date, "
-            "CASE WHEN doc_id % 6 <> 0 THEN published_at END AS published_at), "
-            "'{\"doc_id\":' || doc_id || '}' AS raw_payload FROM articles",
+            "CASE WHEN doc_id % 6 <> 0 THEN published_at END AS published_at) FROM articles",
         ),
     ),
     "bronze_dedup": query(

@@ -167,8 +167,6 @@ def broken_sets(spark: SparkSession, d: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-_BASE = "SELECT * EXCLUDE (doc_id) FROM articles"
-
 QUERIES = {
     "append_evolve": query(
         evolved,
