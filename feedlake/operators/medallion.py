@@ -189,9 +189,9 @@ def _table(spark: SparkSession, path: str, schema: StructType, partition_by: lis
 
 
 def _contents(cleaned: DataFrame) -> DataFrame:
-    """Which record has which content; the table of them is cut by the content's first two digits."""
+    """Which record has which content; the table of them is cut by the content's first digit."""
     return cleaned.select(
-        *KEY, "region", "language", "content_hash", "ingested_at", F.substring("content_hash", 1, 2).alias(_SHARD)
+        *KEY, "region", "language", "content_hash", "ingested_at", F.substring("content_hash", 1, 1).alias(_SHARD)
     )
 
 
