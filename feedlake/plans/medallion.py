@@ -13,12 +13,15 @@ from feedlake.functions.chunks import chunk_windows, token_estimate
 from feedlake.operators.gold import chunks_before
 from feedlake.operators.medallion import run_medallion
 from feedlake.operators.silver import article_metadata, clean_articles, dedup_first, dedup_latest
+from feedlake.operators.sketches import (
+    DISTINCT_ERROR, RANK_ERROR, describe_run, estimates, merge_runs, read_runs, record_run,
+)
 from feedlake.plans import adapters as a
 from feedlake.plans import sql as s
 from feedlake.plans.registry import query
 from feedlake.plans.sql import with_ctes
 from feedlake.profiles import CLUSTER, LOCAL
-from feedlake.session import shared_dir
+from feedlake.session import broadcast_if_small, materialize, shared_dir
 from feedlake.sources.staging import write_staging
 
 SILVER_COLUMNS = (
@@ -116,6 +119,32 @@ def stage_counts(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(list(counts.items()), "stage string, n_rows bigint")
 
 
+def run_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """Gold in three runs, each recorded as sketches; the runs merged per date and region.
+
+    Few feeds are counted exactly. Articles and the median length are held against exact figures.
+    """
+    path = shared_dir(spark, "runs")
+    by = ["ingestion_date", "region"]
+    gold = materialize(a.gold(spark, d).select(*by, "feed_id", "article_id", "chunk_index", "chunk_text"), "gold")
+    for run in range(3):
+        rows = gold.filter(F.col("chunk_index") % 3 == run)
+        record_run(path, describe_run(rows, f"run{run}", by, ["feed_id", "article_id"], ["chunk_text"]))
+    shares = {"min": 0.0, "median": 0.5, "max": 1.0}
+    seen = materialize(estimates(merge_runs(read_runs(spark, path), by), shares), "seen")
+    length, median = F.length("chunk_text"), F.col("chunk_text_median")
+    exact = gold.join(broadcast_if_small(seen.select(*by, "chunk_text_median")), by).groupBy(*by).agg(
+        F.count_distinct("article_id").alias("articles"),
+        F.avg((length < median).cast("int")).alias("below"), F.avg((length <= median).cast("int")).alias("upto"),
+    )
+    return seen.join(exact, by).select(
+        *by, "n_runs", "n_rows", F.col("feed_id_distinct").alias("feeds"),
+        F.col("chunk_text_min").alias("shortest"), F.col("chunk_text_max").alias("longest"),
+        (F.abs(F.col("article_id_distinct") / F.col("articles") - 1) <= DISTINCT_ERROR).alias("articles_near"),
+        ((F.col("below") <= 0.5 + RANK_ERROR) & (F.col("upto") >= 0.5 - RANK_ERROR)).alias("median_near"),
+    )
+
+
 def _windows_sql(size: int, overlap: int) -> str:
     rows = s.chunks(
         size, overlap, "(SELECT doc_id, text AS content FROM documents WHERE text <> '')", "doc_id"
@@ -248,4 +277,14 @@ QUERIES = {
             "UNION ALL SELECT 'quarantined', count(*) FROM documents WHERE doc_id % 40 = 0",
         ),
     ),
+    "run_sketches": query(
+        run_sketches,
+        with_ctes(
+            "gold",
+            select="SELECT ingestion_date, region, count(DISTINCT chunk_index % 3) AS n_runs, "
+            "count(*) AS n_rows, count(DISTINCT feed_id) AS feeds, min(length(chunk_text)) AS shortest, "
+            "max(length(chunk_text)) AS longest, true AS articles_near, true AS median_near "
+            "FROM gold GROUP BY ALL",
+        ),
+    ),
 }
