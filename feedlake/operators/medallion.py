@@ -9,10 +9,10 @@ from pyspark.sql.types import StructType
 from feedlake import schemas
 from feedlake.functions.vectors import namespace
 from feedlake.operators.bronze import KEY, build_bronze, dedup_bronze, newest_first
-from feedlake.operators.contracts import split_by_contract
+from feedlake.operators.contracts import missing_fields
 from feedlake.operators.dedup import keep_first
 from feedlake.operators.gold import build_gold
-from feedlake.operators.metrics import count_while
+from feedlake.operators.metrics import counts_while
 from feedlake.operators.silver import build_silver, clean_articles
 from feedlake.operators.upsert import append_evolve, same_keys
 from feedlake.operators.vectors import STAMP_KEY, VECTOR_KEY, stamps_path, vector_table
@@ -83,18 +83,22 @@ class _Run:
         self.spark, self.root, self.counts = spark, root, {"quarantined": 0}
 
     def checked(self, df: DataFrame, schema: StructType, name: str) -> DataFrame:
-        rows = materialize(df, name)
-        good, bad = split_by_contract(rows, schema)
-        keys = [c for c in bad.columns if bad.schema[c].dataType.typeName() != "map"]
-        bad = materialize(bad.withColumn("violations", F.array_join("violations", ",")), "broken")
-        n_bad = bad.count()
+        """The rows that keep the contract. All are written once, and counted meanwhile."""
+        kept: list[DataFrame] = []
+        n = counts_while(
+            df.withColumn("violations", missing_fields(schema)), lambda rows: kept.append(materialize(rows, name)),
+            rows=F.count(F.lit(1)), broken=F.count_if(F.size("violations") > 0),
+        )
+        n_bad = n["broken"]
         if n_bad:
-            upsert_table(self.spark, f"{self.root}/quarantine/{name}", bad, keys, ["ingestion_date"], written=True)
+            bad = kept[0].filter(F.size("violations") > 0)
+            keys = [c for c in df.columns if df.schema[c].dataType.typeName() != "map"]
+            bad = bad.withColumn("violations", F.array_join("violations", ","))
+            upsert_table(self.spark, f"{self.root}/quarantine/{name}", bad, [*keys, "violations"], ["ingestion_date"])
         self.counts["quarantined"] += n_bad
-        seen = []
-        good = _written_while(good, name, seen)
-        self.counts[name] = seen[0]
-        return good
+        self.counts[name] = n["rows"] - n_bad
+        good = kept[0].filter(F.size("violations") == 0) if n_bad else kept[0]
+        return good.drop("violations")
 
 
 def _upsert_bronze(spark: SparkSession, root: str, source: DataFrame) -> None:
@@ -214,12 +218,6 @@ def _follow_stamps(spark: SparkSession, gold_path: str, old: DataFrame, gold: Da
     return gold
 
 
-def _written_while(df: DataFrame, label: str, counts: list[int]) -> DataFrame:
-    kept: list[DataFrame] = []
-    counts.append(count_while(df, lambda rows: kept.append(materialize(rows, label))))
-    return kept[0]
-
-
 def _replace_dates(
     spark: SparkSession, path: str, rows: DataFrame, schema: StructType, partition_by: list[str],
     dates: DataFrame,

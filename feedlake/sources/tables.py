@@ -40,8 +40,9 @@ def _write(df: DataFrame, path: str, partition_by: list[str], mode: str) -> None
 
 def create_table(spark: SparkSession, path: str, schema: StructType, partition_by: list[str]) -> None:
     """An empty partitioned table, or the one that is there. Read a new one with its schema."""
-    # No rows make no partition folders, so this adds no file to a table.
-    spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition_by).parquet(path)
+    if not _folder(spark, path)[2]:
+        # No rows make no partition folders, so this adds no file to a table.
+        spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def append_table(df: DataFrame, path: str, partition_by: list[str]) -> None:
@@ -121,18 +122,23 @@ def evolved_schema(spark: SparkSession, path: str, schema: StructType) -> Struct
     return StructType([*schema.fields, *[f for f in stored.fields if f.name not in known]])
 
 
-def has_files(spark: SparkSession, path: str) -> bool:
-    """Whether the table is there and has a partition; only its top folder is listed."""
+def _folder(spark: SparkSession, path: str) -> tuple:
+    """A folder, its file system, and whether it is there."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(root) and any("=" in f.getPath().getName() for f in files.listStatus(root))
+    return root, files, files.exists(root)
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether the table is there and has a partition; only its top folder is listed."""
+    root, files, there = _folder(spark, path)
+    return there and any("=" in f.getPath().getName() for f in files.listStatus(root))
 
 
 def _remove(spark: SparkSession, path: str, partitions: DataFrame) -> None:
     """Take out the folders of partitions; no data is read or written."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for row in partitions.toLocalIterator():
+    root, files, _ = _folder(spark, path)
+    for row in partitions.coalesce(1).toLocalIterator():
         files.delete(spark._jvm.org.apache.hadoop.fs.Path(root, partition_folder(row.asDict())), True)
 
 
@@ -234,6 +240,8 @@ def delete_from_table(
     if not has_files(spark, path):
         return
     gone = materialize(null_partitions(gone, partition_by), "gone")
+    if gone.isEmpty():
+        return
     target = read_table(spark, path, spark.read.option("mergeSchema", "true").parquet(path).schema)
 
     def change(rows: DataFrame) -> DataFrame:
