@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from feedlake.llm.common import byte_slices
 from feedlake.session import materialize
 
 SEQUENCE = 4096
@@ -55,37 +56,44 @@ class WordIds(dict):
         self.tokenizer.encode_special_tokens = True
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.kind = {2: "H", 4: "I"}[np.dtype(kind).itemsize]
-        self.parts: dict[str, bytes] = {"": b""}
         self.before: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         # Words met since the cache was last full are kept beside the new ones.
         out = self.before.get(word)
         if out is None:
-            plain = _PLAIN.fullmatch(word)
-            if plain:
-                letters, marks = plain.groups()
-                out = self._part(letters.lower()) + self._part(marks) if marks else self._part(letters.lower())
+            if word.isascii() and word.isalpha():
+                out = self._ids(word.lower())
             else:
-                out = array(self.kind, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+                plain = _PLAIN.fullmatch(word)
+                if plain:
+                    letters, marks = plain.groups()
+                    out = self._part(letters) + self._part(marks)
+                else:
+                    out = array(self.kind, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         self[word] = out
         return out
 
+    def _ids(self, part: str) -> bytes:
+        return array(self.kind, [t.id for t in self.model.tokenize(part)]).tobytes()
+
     def _part(self, part: str) -> bytes:
-        out = self.parts.get(part)
+        """The ids of letters, which are words themselves, or of marks."""
+        out = self.get(part) or self.before.get(part)
         if out is None:
-            shown = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.letters)
-            out = array(self.kind, [t.id for t in self.model.tokenize(shown)]).tobytes()
+            out = b""
+            if part:
+                small = part.lower()
+                shown = small if part.isascii() else small.encode("utf-8").decode("latin-1").translate(self.letters)
+                out = self._ids(shown)
             if len(part) <= SHORT:  # longer ones are seldom met behind other marks
-                self.parts[part] = out
+                self[part] = out
         return out
 
     def trim(self) -> None:
         if len(self) > CACHED_WORDS:
             self.before = dict(self)
             self.clear()
-        if len(self.parts) > CACHED_WORDS:
-            self.parts = {"": b""}
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -135,8 +143,7 @@ def tokenized(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(tokenizer, kind)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 512):
-                part = batch.slice(begin, 512)
+            for part in byte_slices(batch, 1):
                 data = [
                     b"".join(map(words.__getitem__, (t or "").replace("\n", " ").split(" "))) + end
                     for t in part.column(1).to_pylist()
