@@ -228,6 +228,18 @@ def _instances(classes: DataFrame, trees: range, levels: int, percent: int) -> D
     return classes.select("id", "n", "sketch").mapInArrow(run, "node long, id long, n long")
 
 
+def _shared(instances: DataFrame, label: str) -> DataFrame:
+    """The instances in nodes that several classes reach, written; nearly all nodes are reached by one.
+
+    Every later step shuffles these only. Sums are taken of one number per node, so a node of many
+    members is one row for each task.
+    """
+    instances = materialize(instances, label)
+    nodes = instances.groupBy("node").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low != high")
+    shared = materialize(nodes.select("node"), "near_shared")
+    return materialize(instances.join(broadcast_if_small(shared, MAX_SENT_IDS), "node", "left_semi"), label)
+
+
 def _deeper(members: DataFrame, classes: DataFrame, percent: int, levels: int) -> DataFrame:
     """(node, id, n): the nodes that members reach some levels below theirs."""
     per_node = _children(percent)
@@ -378,10 +390,13 @@ def _sets(asked: DataFrame, docs: DataFrame, id_col: str, text_col: str, words:
                 sets = shingle_sets(part.column(1).to_pylist(), words)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in sets], pa.binary())], ["id", "set"])
 
+    ids, n = written(asked.select("id").distinct(), "near_asked", ids=F.count(F.lit(1)))
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).join(
-        broadcast_if_small(asked.select("id").distinct(), MAX_SENT_IDS), "id", "left_semi"
+        broadcast_if_small(ids, MAX_SENT_IDS), "id", "left_semi"
     )
-    return materialize(texts.mapInArrow(made, "id long, set binary").distinct(), "near_sets")
+    sets, found = written(texts.mapInArrow(made, "id long, set binary"), "near_sets", rows=F.count(F.lit(1)))
+    # Every id asked for is there, so as many rows as ids mean that none repeats.
+    return sets if found["rows"] == n["ids"] else materialize(sets.distinct(), "near_sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -441,10 +456,11 @@ def _to_pivots(members: DataFrame, classes: DataFrame, percent: int, turn: int)
     )
     leading = (F.col("id") == F.col("pivot")).alias("leading")
     pairs = _compared(
-        members.join(pivots, "node").select("node", "id", "n", "label", leading, "size"),
+        members.join(broadcast_if_small(pivots, MAX_SENT_IDS), "node").select("node", "id", "n", "label", leading, "size"),
         classes, percent, "pivots",
     )
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "same"))
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = pairs.select(F.explode(ways).alias("way"), "same").select("way.a", "way.b", "same")
     best = both.groupBy("a").agg(F.max_by("b", F.struct("same", "b")).alias("b"))
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -452,7 +468,8 @@ def _to_pivots(members: DataFrame, classes: DataFrame, percent: int, turn: int)
 def _across(members: DataFrame, nodes: DataFrame) -> DataFrame:
     """The nodes' members for `_compared`: those outside of a node's largest component lead, so that
     members of a large component are never paired with each other."""
-    return members.join(nodes.select("node", "mode", "size"), "node").select(
+    nodes = broadcast_if_small(nodes.select("node", "mode", "size"), MAX_SENT_IDS)
+    return members.join(nodes, "node").select(
         "node", "id", "n", "label", (F.col("label") != F.col("mode")).alias("leading"), "size"
     )
 
@@ -471,7 +488,7 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, word
     levels = max(2, math.ceil(math.log(max(total, 2)) / -math.log(BACKGROUND)))
     args = (docs, id_col, text_col, words, percent)
 
-    first = materialize(_instances(classes, range(PIVOT_TREES), levels, percent), "near_nodes")
+    first = _shared(_instances(classes, range(PIVOT_TREES), levels, percent), "near_nodes")
     labels = None
     for turn in range(PIVOT_TURNS):
         members = first.withColumn("label", F.col("id")) if labels is None else _labelled(first, labels)
@@ -481,13 +498,13 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, word
         labels = components(links) if labels is None else merged(labels, links)
 
     trees = max(trees_for(levels, percent), PIVOT_TREES)
-    rest = materialize(_instances(classes, range(PIVOT_TREES, trees), levels, percent), "near_nodes")
+    rest = _shared(_instances(classes, range(PIVOT_TREES, trees), levels, percent), "near_nodes")
     labels, depth, inside = _searched(first.unionByName(rest), classes, labels, levels, args)
     # A pair that these trees did not compare stands in a large node of theirs: its members go down
     # further trees, as many as the deepest nodes ask for.
     while trees_for(depth, percent) > trees:
         begin, trees = trees, trees_for(depth, percent)
-        again = materialize(_instances(inside, range(begin, trees), levels, percent), "near_nodes")
+        again = _shared(_instances(inside, range(begin, trees), levels, percent), "near_nodes")
         labels, deepest, _ = _searched(again, inside, labels, levels, args)
         depth = max(depth, deepest)
     return labels
@@ -553,7 +570,7 @@ def _searched(
         if inside is None:
             ids = deeper.select("id").distinct()
             inside = materialize(classes.join(broadcast_if_small(ids, MAX_SENT_IDS), "id", "left_semi"), "near_inside")
-        members = materialize(_deeper(deeper, classes, percent, LEVELS_AT_ONCE), "near_nodes")
+        members = _shared(_deeper(deeper, classes, percent, LEVELS_AT_ONCE), "near_nodes")
     return labels, depth, inside
 
 

@@ -77,6 +77,26 @@ def test_large_nodes_branch_on(spark, monkeypatch):
     assert got == brute(rows, 2)
 
 
+def test_only_nodes_of_several_classes_are_searched(spark, monkeypatch):
+    rows = family(1000, 6, 100, 6) + [(i, prose(i, 80)) for i in range(4000, 4100)]
+    seen = []
+
+    def noted(df, label):
+        out = materialize(df, label)
+        if label in ("near_members", "near_sets"):
+            seen.append((label, out))
+        return out
+
+    materialize = neardup.materialize
+    monkeypatch.setattr(neardup, "materialize", noted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, neardup.near_duplicates(df, words=2).collect()), key=str)
+    assert got == brute(rows, 2)
+    members = [m for label, m in seen if label == "near_members"]
+    assert members and all(m.groupBy("node").count().filter("count = 1").isEmpty() for m in members)
+    assert "near_sets" not in dict(seen)  # no id repeats, so no set is shuffled to find repeated ones
+
+
 @pytest.mark.parametrize("levels", [3, 7, 15, 21])
 def test_recall_does_not_fall_with_depth(levels):
     """Pairs at the threshold share a node at any depth, in as many trees as are asked for there."""
