@@ -86,10 +86,10 @@ def _regression(rows, columns, values, scale, used, y, share) -> Model:
     """Logistic regression by accelerated proximal steps; the penalty shrinks weights to zero."""
 
     def forward(w: np.ndarray) -> np.ndarray:
-        return np.bincount(rows, values * w[columns], minlength=len(y))
+        return np.bincount(rows, values * w[columns], minlength=len(y)).astype(float)  # no rows are counted in whole numbers
 
     def back(g: np.ndarray) -> np.ndarray:
-        return np.bincount(columns, values * g[rows], minlength=len(used))
+        return np.bincount(columns, values * g[rows], minlength=len(used)).astype(float)
 
     probe = np.random.default_rng(3).normal(size=len(used))
     for _ in range(12):
