@@ -242,3 +242,22 @@ def test_hits_fall_back_to_the_vectors_id(spark):
     )
     rows = sorted(tuple(r)[:5] for r in vector_hits(found, vectors).collect())
     assert rows == [("q", 1, "c1", 0.5, "t"), ("q", 2, "v2", 0.0, "")]
+
+
+def test_a_task_holds_the_vectors_of_one_model_call(spark):
+    def traced():
+        import tracemalloc
+
+        tracemalloc.start()
+
+        def model(texts):
+            held = tracemalloc.get_traced_memory()[0]
+            assert held < 4 << 20, f"{held} bytes are held"
+            return np.ones((len(texts), 384))
+
+        return model
+
+    rows = spark.range(0, 4000, 1, 1).select("id", F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("t"))
+    out = rows.select("id", embed_text(F.col("t"), traced).alias("v"))
+    got = out.agg(F.count("v"), F.min(F.size("v")), F.max(F.abs(F.col("v")[383] - 384 ** -0.5))).first()
+    assert (got[0], got[1]) == (4000, 384) and got[2] < 1e-12
