@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm.common import byte_slices, written
 from feedlake.llm.components import components, merged
-from feedlake.session import broadcast_if_small, materialize
+from feedlake.session import broadcast_if_small, materialize, only_result
 
 PERCENT = 80
 TOKENS = 512  # minwise tokens of a sketch, eight bits each
@@ -234,10 +234,14 @@ def _shared(instances: DataFrame, label: str) -> DataFrame:
     Every later step shuffles these only. Sums are taken of one number per node, so a node of many
     members is one row for each task.
     """
-    instances = materialize(instances, label)
-    nodes = instances.groupBy("node").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low != high")
-    shared = materialize(nodes.select("node"), "near_shared")
-    return materialize(instances.join(broadcast_if_small(shared, MAX_SENT_IDS), "node", "left_semi"), label)
+
+    def shared() -> DataFrame:
+        every = materialize(instances, label)
+        nodes = every.groupBy("node").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low != high")
+        several = materialize(nodes.select("node"), "near_shared")
+        return every.join(broadcast_if_small(several, MAX_SENT_IDS), "node", "left_semi")
+
+    return only_result(instances.sparkSession, shared, label)
 
 
 def _deeper(members: DataFrame, classes: DataFrame, percent: int, levels: int) -> DataFrame:
@@ -585,8 +589,13 @@ def near_duplicates(
     A text without words, empty or null, has no shingles and no links; a text of
     fewer words than a shingle is one shingle. Rows with one id count as one document,
     linked as any of them is; rows without an id have no component and are kept. Other
-    columns are ignored. Ids are whole numbers.
+    columns are ignored. Ids are whole numbers. The result is written; nothing else that was
+    written for it stays.
     """
+    return only_result(docs.sparkSession, lambda: _judged(docs, words, percent, id_col, text_col), "near_found")
+
+
+def _judged(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     members = materialize(_sketched(docs, id_col, text_col, words), "near_sketches")
     classes = materialize(classes_of(members), "near_classes")
     labels = _links(docs, classes, id_col, text_col, words, percent)
@@ -613,7 +622,7 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of documents that `near_duplicates` keeps, with all their columns; of rows with
     one id, one stays. Rows without an id all stay."""
-    found = materialize(near_duplicates(docs, words, percent, id_col, text_col), "near_found")
+    found = near_duplicates(docs, words, percent, id_col, text_col)
     ids = found.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias(_ID)).agg(
         F.min("kept").alias("kept"), F.count(F.lit(1)).alias("copies")
     )

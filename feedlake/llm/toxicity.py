@@ -24,6 +24,7 @@ BITS = 20
 SAMPLE_ROWS = 2_000  # labelled rows of each class that are learnt from
 SAMPLE_CHARS = 20_000  # longer texts are scored, but not learnt from
 TELLING = 50_000  # n-grams that get a weight: those that tell the classes apart best
+BLOCK = 1 << 18  # n-grams of texts that the fit works on together
 SMOOTHING, PENALTY, STEPS = 1.0, 0.00005, 200
 
 _SMALL = np.arange(256, dtype=np.uint32)
@@ -65,31 +66,59 @@ def fit(texts: list[str | None], labels: list[int]) -> Model:
     if not 0 < y.sum() < len(y):
         return Model(np.zeros(size, np.float32), float(np.log(share / (1 - share))))
     # N-grams are taken from the texts twice, one text at a time: all of them side by side would fill the driver.
-    toxic, other = np.full(size, SMOOTHING), np.full(size, SMOOTHING)
+    counts = np.zeros((2, size), dtype=np.int32)
     for text, label in zip(texts, labels):
-        (toxic if label else other)[features(text)] += 1
-    ratio = np.log(toxic / (y.sum() + 2 * SMOOTHING)) - np.log(other / (len(y) - y.sum() + 2 * SMOOTHING))
+        counts[1 if label else 0][features(text)] += 1
     # An n-gram of fewer than three texts tells nothing about others.
-    ratio[toxic + other < 3 + 2 * SMOOTHING] = 0
+    often = np.flatnonzero(counts.sum(axis=0) >= 3)
+    other, toxic = counts[:, often] + SMOOTHING
+    ratio = np.log(toxic / (y.sum() + 2 * SMOOTHING)) - np.log(other / (len(y) - y.sum() + 2 * SMOOTHING))
     tells = np.abs(ratio) * np.sqrt(toxic + other)
-    tells = tells > max(np.partition(tells, -TELLING)[-TELLING], 0)
-    found = [f[tells[f]] for f in map(features, texts)]
-    rows = np.repeat(np.arange(len(y), dtype=np.int32), [len(f) for f in found])
-    used, columns = np.unique(np.concatenate(found), return_inverse=True)
-    columns = columns.astype(np.int32)
-    values = ratio[used][columns]
-    weight = 1 / np.sqrt(np.bincount(rows, minlength=len(y)).clip(1).mean())
-    return _regression(rows, columns, values * weight, ratio[used] * weight, used, y, share)
-
-
-def _regression(rows, columns, values, scale, used, y, share) -> Model:
-    """Logistic regression by accelerated proximal steps; the penalty shrinks weights to zero."""
+    tells = tells > (np.partition(tells, -TELLING)[-TELLING] if len(tells) >= TELLING else 0)
+    used, ratio = often[tells], ratio[tells]
+    del counts, often, other, toxic, tells
+    blocks, lengths = _blocks(texts, used)
+    return _regression(blocks, lengths, ratio / np.sqrt(lengths.clip(1).mean()), used, y, share)
+
+
+def _blocks(texts: list[str | None], used: np.ndarray) -> tuple[list[tuple[int, int, np.ndarray]], np.ndarray]:
+    """Neighbouring texts as (begin, end, the places in `used` of all their n-grams), about BLOCK places
+    in a block; and how many each text has."""
+    place = np.full(1 << BITS, len(used), dtype=np.min_scalar_type(len(used)))  # two bytes for up to TELLING
+    place[used] = np.arange(len(used))
+    out, begin, held, n, lengths = [], 0, [], 0, []
+    for i, text in enumerate(texts):
+        found = place[features(text)]
+        held.append(found[found < len(used)])
+        lengths.append(len(held[-1]))
+        n += lengths[-1]
+        if n >= BLOCK or i + 1 == len(texts):
+            out.append((begin, i + 1, np.concatenate(held)))
+            begin, held, n = i + 1, [], 0
+    return out, np.array(lengths)
+
+
+def _regression(
+    blocks: list[tuple[int, int, np.ndarray]], lengths: np.ndarray, scale: np.ndarray, used: np.ndarray, y: np.ndarray, share: float
+) -> Model:
+    """Logistic regression by accelerated proximal steps; the penalty shrinks weights to zero.
+
+    Nothing but the blocks is as long as the n-grams of all texts; what is taken from them is taken
+    block by block.
+    """
 
     def forward(w: np.ndarray) -> np.ndarray:
-        return np.bincount(rows, values * w[columns], minlength=len(y)).astype(float)  # no rows are counted in whole numbers
+        scaled, out = scale * w, np.zeros(len(y))
+        for begin, end, places in blocks:
+            rows = np.repeat(np.arange(end - begin), lengths[begin:end])
+            out[begin:end] = np.bincount(rows, scaled[places], minlength=end - begin)
+        return out
 
     def back(g: np.ndarray) -> np.ndarray:
-        return np.bincount(columns, values * g[rows], minlength=len(used)).astype(float)
+        out = np.zeros(len(used))
+        for begin, end, places in blocks:
+            out += np.bincount(places, np.repeat(g[begin:end], lengths[begin:end]), minlength=len(used))
+        return scale * out
 
     probe = np.random.default_rng(3).normal(size=len(used))
     for _ in range(12):

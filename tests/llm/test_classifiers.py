@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -47,6 +48,17 @@ def test_toxicity_on_held_out_rows(tables):
     assert kept.schema == docs.schema and 0 < docs.count() - kept.count() < 0.3 * docs.count()
 
 
+def test_the_fit_holds_few_bytes_an_ngram():
+    rng = np.random.default_rng(1)
+    words = ["".join(map(chr, rng.integers(97, 123, 6))) for _ in range(3000)]
+    texts = [" ".join(rng.choice(words, 1500)) for _ in range(400)]  # of 13 million distinct n-grams
+    tracemalloc.start()
+    model = toxicity.fit(texts, [i % 2 for i in range(400)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20 and model.weights.any()
+
+
 def test_quality_on_held_out_rows(tables):
     docs, labels = tables
     sample = toxicity.training_sample(docs, labels, "quality", sample_rows=quality.SAMPLE_ROWS)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import itertools
+import pathlib
 import random
 import re
 
 import numpy as np
 import pytest
 
+from feedlake import session
 from feedlake.llm import neardup
 from feedlake.llm.components import components, merged
 from tests.llm.cases import DOC_SCHEMA, DOCS, prose
@@ -198,3 +200,12 @@ def test_templates_just_under_and_over_the_threshold(spark, monkeypatch, cluster
     want = brute(rows, 2)
     assert len({r[2] for r in want if r[0] < 9000}) > 20
     assert sorted(map(tuple, neardup.near_duplicates(df, words=2).collect()), key=str) == want
+
+
+def test_only_the_result_stays_on_disk(spark, docs, monkeypatch):
+    before, made, real = session.materialize(docs, "given"), [], session.shared_dir
+    monkeypatch.setattr(session, "shared_dir", lambda s, label: made.append(real(s, label)) or made[-1])
+    found, kept = neardup.near_duplicates(before, 2), neardup.drop_near_duplicates(before, 2)
+    there = [p for p in made if pathlib.Path(p.removeprefix("file:")).exists()]
+    assert len(made) > 10 and [p.rsplit("/", 1)[1].split("-")[0] for p in there] == ["near_found"] * 2
+    assert found.count() == before.count() == len(DOCS) and kept.count()
