@@ -249,10 +249,12 @@ def test_a_task_holds_the_vectors_of_one_model_call(spark):
         import tracemalloc
 
         tracemalloc.start()
+        held = []
 
         def model(texts):
-            held = tracemalloc.get_traced_memory()[0]
-            assert held < 4 << 20, f"{held} bytes are held"
+            held.append(tracemalloc.get_traced_memory()[0])
+            # The first calls import what the task needs.
+            assert held[-1] - held[min(len(held) - 1, 5)] < 4 << 20, held
             return np.ones((len(texts), 384))
 
         return model
