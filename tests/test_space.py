@@ -114,3 +114,36 @@ def test_large_tables_change_like_small_ones(spark, large):
     schema = read_table(spark, path).select("k", "v", "p", "q").schema
     replace_rows(spark, path, schema, frame([("a", 0, "x", "u1"), ("none", 0, "y", "u1")]), frame([("e", 1, "z", "u1")]), ["k"], ["p", "q"])
     assert rows() == sorted([("e", 1, "z", "u1"), *now[1:]], key=str)
+
+
+def test_many_queries_do_not_shuffle_the_corpus(spark, monkeypatch):
+    from feedlake.operators import retrieve, topk
+
+    monkeypatch.setattr(topk, "SPREAD_BYTES", -1)
+    monkeypatch.setattr(topk, "CELL_ROWS", 7)
+    words = ["supply", "chain", "risks", "regions", "forecast"]
+    texts = [(i, i % 3, " ".join(w for j, w in enumerate(words) if i >> j & 1)) for i in range(40)]
+    asked = [(f"q{i}", " ".join(words[: i % 6])) for i in range(30)]
+    chunks = spark.createDataFrame(texts, "ordinal long, chunk_index int, chunk_text string")
+    queries = spark.createDataFrame(asked, "query_id string, query string")
+    found = retrieve.top_k_keywords(chunks.repartition(3), queries, ["ordinal", "chunk_index"], 4, 2)
+    # Cells of the corpus were dealt out by _task before, copied for each block.
+    assert "_task" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {}
+    for r in sorted(found.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append((r["ordinal"], r["score"]))
+    for q, query in asked:
+        scores = [(sum(w in t for w in query.split()), i) for i, _, t in texts]
+        best = sorted(scores, key=lambda s: (-s[0], s[1]))[:4]
+        assert got[q] == [(i, s) for s, i in best if s or not best[0][0]]
+
+
+def test_state_of_newest_records_holds_no_texts(spark):
+    """The state held whole records before, texts included."""
+    from feedlake.streaming.incremental import newest_times, of_newest_times, with_newest_times
+
+    rows = _articles(spark, [(1, 1, 1), (1, 2, 3), (1, 3, 3), (2, 4, 2)])
+    assert {f.name for f in newest_times(rows).schema} == {"article_id", "ingestion_date", "_at"}
+    kept = of_newest_times(materialize(with_newest_times(rows), "batch"))
+    assert sorted((r["article_id"], r["body"][:8]) for r in kept.collect()) == [
+        ("a1", "Number 2"), ("a1", "Number 3"), ("a2", "Number 4")]
